@@ -17,6 +17,15 @@ def day_of(column: Column | str) -> Column:
     return _col(column).try_cast("date").cast("string")
 
 
+def day_number(column: Column | str) -> Column:
+    """Day as an integer. Minimum and maximum of integers aggregate by hash, those of strings need a sort."""
+    return F.unix_date(_col(column).try_cast("date"))
+
+
+def day_text(number: Column | str) -> Column:
+    return F.date_from_unix_date(_col(number)).cast("string")
+
+
 def local_time(epoch_ms: Column | str, zone: str) -> Column:
     """Wall-clock ``yyyy-MM-dd HH:mm:ss`` in ``zone``, whatever the session zone is."""
     epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")

@@ -12,7 +12,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martline.functions.columns import in_days, money, on_day, ratio, seconds_between, whole_average
+from martline.functions.columns import (
+    day_number, day_text, in_days, on_day, ratio, seconds_between, whole_average,
+)
 from martline.functions.dates import OPEN_END, WINDOWS, month_start, shift, window_start
 from martline.operators.ranking import number_and_next, top_ranked
 
@@ -30,6 +32,11 @@ def _starts(day: str, windows: Sequence[int]) -> dict[int, str]:
     return {length: window_start(day, length) for length in windows}
 
 
+def _since(start: str) -> Column:
+    """True where the latest day of a key lies in the window that begins on ``start``."""
+    return F.col("latest") >= day_number(F.lit(start))
+
+
 def _stacked(df: DataFrame, keep: Sequence[str], day: str, per_window: Mapping[int, Mapping[str, Column]]) -> DataFrame:
     """One row per window from columns that hold all windows side by side."""
     entries = [
@@ -84,10 +91,10 @@ def _traffic(sessions: DataFrame, day: str, starts: Mapping[int, str]) -> DataFr
         rows.select("channel", "dt", keys.alias("k"))
         .where(F.col("k.id").isNotNull())
         .groupBy("channel", "k.kind", "k.id")
-        .agg(F.max("dt").alias("latest"))
+        .agg(F.max(day_number("dt")).alias("latest"))
     )
     seen = [
-        F.count(F.when((F.col("kind") == kind) & (F.col("latest") >= F.lit(start)), 1)).alias(f"{kind}_{length}")
+        F.count(F.when((F.col("kind") == kind) & _since(start), 1)).alias(f"{kind}_{length}")
         for length, start in starts.items()
         for kind in ("visitor", "session")
     ]
@@ -210,9 +217,9 @@ def new_order_user_direct(detail: DataFrame, day: str, windows: Sequence[int] =
     first = (
         detail.where((F.col("dt") <= F.lit(day)) & F.col("user_id").isNotNull())
         .groupBy("user_id")
-        .agg(F.min("dt").alias("first"))
+        .agg(F.min(day_number("dt")).alias("first"))
     )
-    return _first_order_counts(first, F.col("first"), day, windows)
+    return _first_order_counts(first, day_text("first"), day, windows)
 
 
 def _first_order_counts(users: DataFrame, first: Column, day: str, windows: Sequence[int]) -> DataFrame:
@@ -333,11 +340,11 @@ def order_stats_by_tm_direct(
     ))
     latest = (
         lines.join(about, "sku_id", "left").select(*BRAND, "dt", keys.alias("k"))
-        .groupBy(*BRAND, "k.kind", "k.id").agg(F.max("dt").alias("latest"))
+        .groupBy(*BRAND, "k.kind", "k.id").agg(F.max(day_number("dt")).alias("latest"))
     )
     counts = [F.max("latest").alias("latest")]
     for length, start in starts.items():
-        inside = (F.col("latest") >= F.lit(start)) & F.col("id").isNotNull()
+        inside = _since(start) & F.col("id").isNotNull()
         counts += [
             F.count(F.when(inside & (F.col("kind") == kind), 1)).alias(f"{kind}s_{length}")
             for kind in ("order", "user")
@@ -345,7 +352,7 @@ def order_stats_by_tm_direct(
     stats = latest.groupBy(*BRAND).agg(*counts)
     per_window = {
         n: {
-            "inside": F.col("latest") >= F.lit(start),
+            "inside": _since(start),
             "order_count": F.col(f"orders_{n}"), "order_user_count": F.col(f"users_{n}"),
         }
         for n, start in starts.items()

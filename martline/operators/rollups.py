@@ -12,8 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martline.functions.columns import MONEY, in_days, money, on_day
-from martline.functions.dates import WINDOWS, shift, window_start
+from martline.functions.columns import MONEY, day_number, day_text, in_days, money, on_day
+from martline.functions.dates import shift, window_start
 
 SKU_ATTRIBUTES = [
     "sku_name", "category1_id", "category1_name", "category2_id", "category2_name", "category3_id",
@@ -131,7 +131,7 @@ def to_date(
     ]
     columns = [key, first, last, *totals]
     return previous.select(*columns).unionByName(today.select(*columns)).groupBy(key).agg(
-        F.min(first).alias(first), F.max(last).alias(last), *sums
+        _first_day(first).alias(first), _last_day(last).alias(last), *sums
     )
 
 
@@ -150,7 +150,7 @@ def user_order_td_init(one_day: DataFrame, day: str) -> DataFrame:
         for c, name in _ORDER_TOTALS.items()
     ]
     return rows.groupBy("user_id").agg(
-        F.min("dt").alias("order_date_first"), F.max("dt").alias("order_date_last"), *sums
+        _first_day("dt").alias("order_date_first"), _last_day("dt").alias("order_date_last"), *sums
     ).withColumn("dt", F.lit(day))
 
 
@@ -172,7 +172,7 @@ def user_login_td_init(registrations: DataFrame, logins: DataFrame, day: str) ->
     registered = registrations.where(F.col("dt") < F.lit(day)).select("user_id", "dt")
     logged_in = logins.where(F.col("dt") == F.lit(day)).select("user_id", "dt")
     return registered.unionByName(logged_in).groupBy("user_id").agg(
-        F.max("dt").alias("login_date_last"), F.min("dt").alias("login_date_first"),
+        _last_day("dt").alias("login_date_last"), _first_day("dt").alias("login_date_first"),
         F.count(F.lit(1)).alias("login_count_td"),
     ).withColumn("dt", F.lit(day))
 
@@ -188,6 +188,14 @@ def user_login_td(previous: DataFrame, logins: DataFrame, day: str) -> DataFrame
     )
 
 
+def _first_day(column: str) -> Column:
+    return day_text(F.min(day_number(column)))
+
+
+def _last_day(column: str) -> Column:
+    return day_text(F.max(day_number(column)))
+
+
 def _add_up(lines: DataFrame, keys: list[str], order_count: Column) -> DataFrame:
     zero = F.lit(0).cast(MONEY)
     return lines.groupBy("dt", *keys).agg(

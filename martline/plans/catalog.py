@@ -293,7 +293,7 @@ def _(t: Standins) -> DataFrame:
 
 
 def _user_changes(t: Standins, day: str) -> DataFrame:
-    return scd2.scd2_changes(t.user_feed(), day, ["id", "name", "user_level"])
+    return scd2.scd2_changes(t.user_feed(day), day, ["id", "name", "user_level"])
 
 
 def _zipper(t: Standins) -> DataFrame:
@@ -305,7 +305,7 @@ def _zipper(t: Standins) -> DataFrame:
 
 @_query("d8a_scd2_init")
 def _(t: Standins) -> DataFrame:
-    boot = t.user_feed().withColumn("type", F.lit(changefeed.BOOTSTRAP))
+    boot = t.user_feed(ED).withColumn("type", F.lit(changefeed.BOOTSTRAP))
     return scd2.scd2_init(boot, ED, ["id", "name", "user_level"])
 
 
@@ -344,7 +344,7 @@ def _(t: Standins) -> DataFrame:
 
 @_query("f1_fact_cart_add")
 def _(t: Standins) -> DataFrame:
-    return facts.fact_cart_add(t.cart_feed(), ED)
+    return facts.fact_cart_add(t.cart_feed(ED), ED)
 
 
 @_query("f1_fact_cart_add_first_day")
@@ -355,7 +355,7 @@ def _(t: Standins) -> DataFrame:
 
 @_query("f2_fact_order_detail")
 def _(t: Standins) -> DataFrame:
-    return facts.fact_order_detail(*t.order_feeds(changefeed.INSERT), OD)
+    return facts.fact_order_detail(*t.order_feeds(changefeed.INSERT, OD, OD), OD)
 
 
 @_query("f2_fact_order_detail_first_day")
@@ -366,7 +366,8 @@ def _(t: Standins) -> DataFrame:
 @_query("f3_fact_payment_success")
 def _(t: Standins) -> DataFrame:
     return facts.fact_payment_success(
-        *t.order_feeds(changefeed.INSERT), t.payment_feed(changefeed.UPDATE), t.dictionary(), OD
+        *t.order_feeds(changefeed.INSERT, shift(OD, -1), OD), t.payment_feed(changefeed.UPDATE, shift(OD, -2), OD),
+        t.dictionary(), OD,
     )
 
 
@@ -384,10 +385,10 @@ def _(t: Standins) -> DataFrame:
 
 
 def _flow(t: Standins) -> DataFrame:
-    headers = t.order_feeds(changefeed.INSERT)[1]
-    return facts.fact_trade_flow(
-        t.flow_open(OD), headers, t.payment_feed(changefeed.UPDATE), t.status_feed(), OD
-    )
+    headers = t.order_feeds(changefeed.INSERT, OD, OD)[1]
+    payments = t.payment_feed(changefeed.UPDATE, shift(OD, -2), OD)
+    finished = t.status_feed(first=shift(OD, -5), last=shift(OD, -5))
+    return facts.fact_trade_flow(t.flow_open(OD), headers, payments, finished, OD)
 
 
 @_query("f5_fact_trade_flow")
@@ -405,7 +406,7 @@ def _(t: Standins) -> DataFrame:
 
 @_query("f6_fact_coupon_used")
 def _(t: Standins) -> DataFrame:
-    return facts.fact_coupon_used(t.coupon_use_feed(changefeed.UPDATE), OD)
+    return facts.fact_coupon_used(t.coupon_use_feed(changefeed.UPDATE, OD, OD), OD)
 
 
 @_query("f6_fact_coupon_used_first_day")
@@ -415,7 +416,7 @@ def _(t: Standins) -> DataFrame:
 
 @_query("f7_fact_favor_add")
 def _(t: Standins) -> DataFrame:
-    return facts.fact_favor_add(t.favor_feed(), ED)
+    return facts.fact_favor_add(t.favor_feed(ED), ED)
 
 
 @_query("f8_fact_page_view")
@@ -426,12 +427,12 @@ def _(t: Standins) -> DataFrame:
 
 @_query("f9_fact_register")
 def _(t: Standins) -> DataFrame:
-    return facts.fact_register(t.register_feed(), t.log(), ED)
+    return facts.fact_register(t.register_feed(), t.log(ED), ED)
 
 
 @_query("f9_fact_register_dedup")
 def _(t: Standins) -> DataFrame:
-    return facts.fact_register(t.register_feed(), t.log(), ED, dedup=True)
+    return facts.fact_register(t.register_feed(), t.log(ED), ED, dedup=True)
 
 
 @_query("f10_fact_login")
@@ -473,9 +474,9 @@ def _(t: Standins) -> DataFrame:
 # Summaries
 
 
-def _month_of_lines(t: Standins) -> DataFrame:
+def _month_of_lines(t: Standins, province: bool = False) -> DataFrame:
     """Order lines of the longest report window; the range reaches the scan."""
-    return t.order_detail(window_start(OD, 30), OD)
+    return t.order_detail(window_start(OD, 30), OD, province)
 
 
 @_query("a1_user_sku_order_1d")
@@ -510,12 +511,12 @@ def _(t: Standins) -> DataFrame:
 
 @_query("a5_province_order_1d")
 def _(t: Standins) -> DataFrame:
-    return rollups.province_order_1d(t.order_detail(OD, OD), t.province(), OD)
+    return rollups.province_order_1d(t.order_detail(OD, OD, province=True), t.province(), OD)
 
 
 @_query("a5_province_order_1d_first_day")
 def _(t: Standins) -> DataFrame:
-    return rollups.province_order_1d(t.order_detail(), t.province(), None, dim_day=OD)
+    return rollups.province_order_1d(t.order_detail(province=True), t.province(), None, dim_day=OD)
 
 
 @_query("a6_user_coupon_used_1d")
@@ -543,7 +544,7 @@ def _user_sku_1d(t: Standins) -> DataFrame:
 
 
 def _province_1d(t: Standins) -> DataFrame:
-    return rollups.province_order_1d(_month_of_lines(t), t.province(), None, dim_day=OD)
+    return rollups.province_order_1d(_month_of_lines(t, True), t.province(), None, dim_day=OD)
 
 
 @_query("a10_user_sku_order_nd")
@@ -621,7 +622,7 @@ def _(t: Standins) -> DataFrame:
 
 @_query("p2_page_path")
 def _(t: Standins) -> DataFrame:
-    return reports.page_path(t.page_views(), ED)
+    return reports.page_path(t.page_views(ED), ED)
 
 
 @_query("p2_page_path_all_days")
@@ -648,9 +649,9 @@ def _(t: Standins) -> DataFrame:
 @_query("p6_user_action")
 def _(t: Standins) -> DataFrame:
     return reports.user_action(
-        rollups.visitor_page_view_1d(t.page_views(), ED), rollups.user_cart_add_1d(t.cart_adds(), ED),
-        rollups.user_order_1d(t.event_orders(), ED),
-        rollups.user_payment_1d(t.event_orders().where(F.col("split_total_amount") >= 20), ED), ED,
+        rollups.visitor_page_view_1d(t.page_views(ED), ED), rollups.user_cart_add_1d(t.cart_adds(ED), ED),
+        rollups.user_order_1d(t.event_orders(ED), ED),
+        rollups.user_payment_1d(t.event_orders(ED).where(F.col("split_total_amount") >= 20), ED), ED,
     )
 
 
@@ -692,7 +693,7 @@ def _(t: Standins) -> DataFrame:
 
 @_query("p13_coupon_stats")
 def _(t: Standins) -> DataFrame:
-    return reports.coupon_stats(rollups.user_coupon_used_1d(t.coupon_used(), t.coupon(), OD), OD)
+    return reports.coupon_stats(rollups.user_coupon_used_1d(t.coupon_used(OD, OD), t.coupon(), OD), OD)
 
 
 @_query("p14_cart_num_top3_by_cate")
@@ -702,7 +703,7 @@ def _(t: Standins) -> DataFrame:
 
 @_query("p15_favor_count_top3_by_tm")
 def _(t: Standins) -> DataFrame:
-    return reports.favor_count_top3_by_tm(rollups.sku_favor_add_1d(t.favors(), t.sku(ED), ED), ED)
+    return reports.favor_count_top3_by_tm(rollups.sku_favor_add_1d(t.favors(ED), t.sku(ED), ED), ED)
 
 
 @_query("p16_order_to_pay_interval_avg")

@@ -288,9 +288,9 @@ _oracle("f3_fact_payment_success_first_day", "paid", f"""
      .replace('from lineitem join orders on l_orderkey = o_orderkey',
               f'from lineitem join orders on l_orderkey = orders.o_orderkey {_JOIN_PAID}')}""")
 _oracle("f4_fact_cart_snapshot", "", f"""
-    select {_LINE} as id, {_v('o_custkey')} as user_id, {_v('l_partkey')} as sku_id, p_name as sku_name,
-        {_b('l_quantity')} as sku_num, {OD} as dt
-    from lineitem join orders on l_orderkey = o_orderkey left join part on l_partkey = p_partkey
+    select {_LINE} as id, {_v('o_custkey')} as user_id, {_v('l_partkey')} as sku_id,
+        'sku ' || l_partkey as sku_name, {_b('l_quantity')} as sku_num, {OD} as dt
+    from lineitem join orders on l_orderkey = o_orderkey
     where o_orderstatus = 'O'""")
 
 

@@ -38,11 +38,17 @@ class Standins:
             rows = rows.where(F.col("o_orderdate") < F.lit(shift(last, 1)).cast("timestamp_ntz"))
         return rows
 
-    def order_detail(self, first: str | None = None, last: str | None = None) -> DataFrame:
-        """Order lines in the shape of the order detail fact."""
-        lines = self.table("lineitem").join(
-            self.orders(first, last), F.col("l_orderkey") == F.col("o_orderkey")
-        ).join(self.table("customer"), F.col("o_custkey") == F.col("c_custkey"), "left")
+    def headers(self, first: str | None = None, last: str | None = None) -> DataFrame:
+        """Orders with their customer's nation."""
+        customer = self.table("customer").select("c_custkey", "c_nationkey")
+        return self.orders(first, last).join(customer, F.col("o_custkey") == F.col("c_custkey"), "left")
+
+    def order_detail(
+        self, first: str | None = None, last: str | None = None, province: bool = False
+    ) -> DataFrame:
+        """Order lines in the shape of the order detail fact, with the province where it is asked for."""
+        headers = self.headers(first, last) if province else self.orders(first, last)
+        lines = self.table("lineitem").join(headers, F.col("l_orderkey") == F.col("o_orderkey"))
         original = money("l_extendedprice")
         cut = money(original * F.col("l_discount").cast("decimal(4,2)"))
         by_activity = F.col("l_discount") >= F.lit(0.05)
@@ -50,7 +56,8 @@ class Standins:
         return lines.select(
             _line_id().alias("id"),
             _text("l_orderkey").alias("order_id"), _text("o_custkey").alias("user_id"),
-            _text("l_partkey").alias("sku_id"), _text("c_nationkey").alias("province_id"),
+            _text("l_partkey").alias("sku_id"),
+            *([_text("c_nationkey").alias("province_id")] if province else []),
             _day("o_orderdate").alias("date_id"), F.col("l_quantity").cast("bigint").alias("sku_num"),
             original.alias("split_original_amount"),
             F.when(by_activity, cut).otherwise(none).alias("split_activity_amount"),
@@ -59,12 +66,16 @@ class Standins:
             _day("o_orderdate").alias("dt"),
         )
 
-    def order_feeds(self, kind: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-        """Detail, header, coupon and activity feeds of all orders as changes of type ``kind``.
+    def order_feeds(
+        self, kind: str, first: str | None = None, last: str | None = None
+    ) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+        """Detail, header, coupon and activity feeds of the orders as changes of type ``kind``.
 
         Every change is filed under its order day; a bootstrap copy is filed under one day.
         """
-        joined = self.table("lineitem").join(self.table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+        joined = self.table("lineitem").join(
+            self.orders(first, last), F.col("l_orderkey") == F.col("o_orderkey")
+        )
         dt = F.lit(ORDER_DAY) if kind == "bootstrap-insert" else _day("o_orderdate")
         original = money("l_extendedprice")
         cut = money(original * F.col("l_discount").cast("decimal(4,2)"))
@@ -80,9 +91,7 @@ class Standins:
             ),
             dt.alias("dt"),
         )
-        headers = self.table("orders").join(
-            self.table("customer"), F.col("o_custkey") == F.col("c_custkey"), "left"
-        ).select(
+        headers = self.headers(first, last).select(
             *_envelope(
                 kind,
                 _text("o_orderkey").alias("id"), _text("o_custkey").alias("user_id"),
@@ -107,9 +116,9 @@ class Standins:
         )
         return details, headers, coupons, activities
 
-    def payment_feed(self, kind: str) -> DataFrame:
+    def payment_feed(self, kind: str, first: str | None = None, last: str | None = None) -> DataFrame:
         """Payments of the orders that are not open, paid up to two days after the order."""
-        rows = self.table("orders").where(F.col("o_orderstatus").isin("F", "P")).withColumn(
+        rows = self.orders(first, last).where(F.col("o_orderstatus").isin("F", "P")).withColumn(
             "paid_at", _plus_seconds(F.col("o_orderdate"), F.col("o_orderkey") % 172800)
         )
         dt = F.lit(ORDER_DAY) if kind == "bootstrap-insert" else _day("paid_at")
@@ -127,9 +136,7 @@ class Standins:
 
     def flow_open(self, day: str) -> DataFrame:
         """Orders placed before ``day`` and not finished by then, with their payment if made before ``day``."""
-        rows = self.orders(last=shift(day, -1)).join(
-            self.table("customer"), F.col("o_custkey") == F.col("c_custkey"), "left"
-        )
+        rows = self.headers(last=shift(day, -1))
         paid_at = _plus_seconds(F.col("o_orderdate"), F.col("o_orderkey") % 172800)
         done = _plus_seconds(F.col("o_orderdate"), F.lit(FINISH_SECONDS))
         paid = F.col("o_orderstatus").isin("F", "P") & (_day(paid_at) < F.lit(day))
@@ -145,11 +152,11 @@ class Standins:
             F.when(paid, money("o_totalprice")).alias("payment_amount"), F.lit("9999-12-31").alias("dt"),
         )
 
-    def status_feed(self, kind: str = "insert") -> DataFrame:
+    def status_feed(self, kind: str = "insert", first: str | None = None, last: str | None = None) -> DataFrame:
         """Finished orders, five days after they were placed."""
         done = _plus_seconds(F.col("o_orderdate"), F.lit(FINISH_SECONDS))
         dt = F.lit(ORDER_DAY) if kind == "bootstrap-insert" else _day(done)
-        return self.table("orders").where(F.col("o_orderstatus") == "F").select(
+        return self.orders(first, last).where(F.col("o_orderstatus") == "F").select(
             *_envelope(
                 kind, _text("o_orderkey").alias("order_id"), F.lit("1004").alias("order_status"),
                 _time(done).alias("create_time"),
@@ -177,9 +184,9 @@ class Standins:
             _day(paid_at).alias("dt"),
         )
 
-    def coupon_used(self) -> DataFrame:
+    def coupon_used(self, first: str | None = None, last: str | None = None) -> DataFrame:
         lines = self.table("lineitem").where((F.col("l_discount") > 0) & (F.col("l_discount") < 0.05)).join(
-            self.table("orders"), F.col("l_orderkey") == F.col("o_orderkey")
+            self.orders(first, last), F.col("l_orderkey") == F.col("o_orderkey")
         )
         return lines.select(
             _line_id().alias("id"), _coupon().alias("coupon_id"), _text("o_custkey").alias("user_id"),
@@ -187,10 +194,10 @@ class Standins:
             _day("o_orderdate").alias("dt"),
         )
 
-    def coupon_use_feed(self, kind: str) -> DataFrame:
+    def coupon_use_feed(self, kind: str, first: str | None = None, last: str | None = None) -> DataFrame:
         """Coupon uses; returned lines only touch another field than ``used_time``."""
         rows = self.table("lineitem").where((F.col("l_discount") > 0) & (F.col("l_discount") < 0.05)).join(
-            self.table("orders"), F.col("l_orderkey") == F.col("o_orderkey")
+            self.orders(first, last), F.col("l_orderkey") == F.col("o_orderkey")
         )
         used = F.col("l_returnflag") != "R"
         dt = F.lit(ORDER_DAY) if kind == "bootstrap-insert" else _day("o_orderdate")
@@ -209,9 +216,9 @@ class Standins:
     def carts(self) -> DataFrame:
         """Cart snapshot: lines of open orders are not ordered yet, the others are."""
         lines = self.table("lineitem").join(self.table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-        return lines.join(self.table("part"), F.col("l_partkey") == F.col("p_partkey"), "left").select(
+        return lines.select(
             _line_id().alias("id"), _text("o_custkey").alias("user_id"), _text("l_partkey").alias("sku_id"),
-            F.col("p_name").alias("sku_name"), F.col("l_quantity").cast("bigint").alias("sku_num"),
+            F.concat(F.lit("sku "), "l_partkey").alias("sku_name"), F.col("l_quantity").cast("bigint").alias("sku_num"),
             F.when(F.col("o_orderstatus") == "O", "0").otherwise("1").alias("is_ordered"),
             F.lit(ORDER_DAY).alias("dt"),
         )
@@ -375,16 +382,23 @@ class Standins:
 
     # Log and interaction
 
-    def events(self) -> DataFrame:
-        return self.table("events").withColumns({
+    def events(self, day: str | None = None) -> DataFrame:
+        """Events of one UTC day or of all; the day is a range on the stored time and reaches the scan."""
+        rows = self.table("events")
+        if day is not None:
+            rows = rows.where(
+                (F.col("ts") >= F.lit(day).cast("timestamp_ntz"))
+                & (F.col("ts") < F.lit(shift(day, 1)).cast("timestamp_ntz"))
+            )
+        return rows.withColumns({
             "k": F.get_json_object("props", "$.k").cast("bigint"),
             "day": _day("ts"),
             "ms": F.timestamp_diff("MILLISECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col("ts")),
         })
 
-    def log(self) -> DataFrame:
+    def log(self, day: str | None = None) -> DataFrame:
         """Every event as a nested log event of its UTC day."""
-        e = self.events()
+        e = self.events(day)
         user, k, kind = _text("user_id"), F.col("k"), F.col("event_type")
         common = F.struct(
             _text(k % 34).alias("ar"), F.concat(F.lit("brand"), _text(F.col("user_id") % 3)).alias("ba"),
@@ -421,9 +435,9 @@ class Standins:
             F.col("day").alias("dt"),
         )
 
-    def page_views(self) -> DataFrame:
+    def page_views(self, day: str | None = None) -> DataFrame:
         """Every event as a flat page view."""
-        e = self.events()
+        e = self.events(day)
         user = _text("user_id")
         return e.select(
             user.alias("mid_id"), F.concat(F.lit("brand"), _text(F.col("user_id") % 3)).alias("brand"),
@@ -443,10 +457,10 @@ class Standins:
         )
         return rows.where(F.col("day") >= start).select(_text("user_id").alias("user_id"), F.col("day").alias("dt"))
 
-    def event_orders(self) -> DataFrame:
+    def event_orders(self, day: str | None = None) -> DataFrame:
         """Purchases as one-line orders in the shape of the order detail fact."""
         none = F.lit(0).cast(MONEY)
-        return self.events().where(F.col("event_type") == "purchase").select(
+        return self.events(day).where(F.col("event_type") == "purchase").select(
             _text("event_id").alias("order_id"), _text("user_id").alias("user_id"), _text("k").alias("sku_id"),
             F.col("k").alias("sku_num"), money("value").alias("split_original_amount"),
             none.alias("split_activity_amount"), none.alias("split_coupon_amount"),
@@ -454,9 +468,9 @@ class Standins:
             F.col("day").alias("dt"),
         )
 
-    def cart_feed(self) -> DataFrame:
+    def cart_feed(self, day: str | None = None) -> DataFrame:
         """Clicks insert, views update; the old quantity is the event's value, missing when that is below one."""
-        e = self.events().where(F.col("event_type").isin("click", "view"))
+        e = self.events(day).where(F.col("event_type").isin("click", "view"))
         kind = F.when(F.col("event_type") == "click", "insert").otherwise("update")
         before = F.floor("value")
         old = F.when(
@@ -474,14 +488,14 @@ class Standins:
             old.alias("old"), F.col("day").alias("dt"),
         )
 
-    def cart_adds(self) -> DataFrame:
+    def cart_adds(self, day: str | None = None) -> DataFrame:
         """Clicks as cart additions."""
-        return self.events().where(F.col("event_type") == "click").select(
+        return self.events(day).where(F.col("event_type") == "click").select(
             _text("user_id").alias("user_id"), F.col("k").alias("sku_num"), F.col("day").alias("dt")
         )
 
-    def favor_feed(self) -> DataFrame:
-        e = self.events().where(F.col("event_type").isin("click", "error"))
+    def favor_feed(self, day: str | None = None) -> DataFrame:
+        e = self.events(day).where(F.col("event_type").isin("click", "error"))
         kind = F.when(F.col("event_type") == "click", "insert").otherwise("update")
         return e.select(
             kind.alias("type"), F.col("ms").alias("ts"),
@@ -492,8 +506,8 @@ class Standins:
             F.lit(None).cast("map<string,string>").alias("old"), F.col("day").alias("dt"),
         )
 
-    def favors(self) -> DataFrame:
-        return self.events().where(F.col("event_type") == "click").select(
+    def favors(self, day: str | None = None) -> DataFrame:
+        return self.events(day).where(F.col("event_type") == "click").select(
             _text("event_id").alias("id"), _text("user_id").alias("user_id"), _text("k").alias("sku_id"),
             F.col("day").alias("dt"),
         )
@@ -508,9 +522,9 @@ class Standins:
             F.lit("9999-12-31").alias("end_date"), F.lit("9999-12-31").alias("dt"),
         )
 
-    def user_feed(self) -> DataFrame:
+    def user_feed(self, day: str | None = None) -> DataFrame:
         """Sign-ups as changes of a user's level, several per user and day."""
-        e = self.events().where(F.col("event_type") == "signup")
+        e = self.events(day).where(F.col("event_type") == "signup")
         return e.select(
             F.lit("update").alias("type"), F.col("ms").alias("ts"),
             F.struct(
