@@ -37,12 +37,13 @@ def scd2_merge(open_rows: DataFrame, changes: DataFrame, day: str, key: str = "i
     Untouched rows only pass one join against the changed keys. When those are few the join broadcasts by its
     measured size and the open rows are neither shuffled nor sorted.
     """
-    merged = _merge(open_rows, changes, day, key)
+    merged = scd2_merged(open_rows, changes, day, key)
     still_open = F.col("end_date") == F.lit(OPEN_END)
     return merged.where(still_open), merged.where(~still_open)
 
 
-def _merge(open_rows: DataFrame, changes: DataFrame, day: str, key: str) -> DataFrame:
+def scd2_merged(open_rows: DataFrame, changes: DataFrame, day: str, key: str = "id") -> DataFrame:
+    """Both results of :func:`scd2_merge` in one frame, told apart by ``dt``, for a single write."""
     columns = [c for c in open_rows.columns if c not in ("start_date", "end_date", "dt")]
     touched = changes.select(F.col(key).alias("_key"), F.lit(True).alias("_touched"))
     end = F.when(F.col("_touched"), F.lit(shift(day, -1))).otherwise(F.lit(OPEN_END))

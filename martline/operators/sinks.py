@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from martline.functions.dates import OPEN_END
 from martline.sources.files import day_path, read_table
 
 
@@ -31,6 +33,37 @@ def overwrite_dynamic(df: DataFrame, path: str) -> None:
     )
 
 
+def write_version(df: DataFrame, path: str, day: str) -> None:
+    """Result of one run of a self-updating table: its open rows and the rows it closed, by ``dt``.
+
+    Each run day has its own folder, so a run reads the folder of the day before and never the one it replaces. An
+    open set that became empty leaves no stale partition behind. Versions of open rows older than the days that may
+    still be run again can be deleted.
+    """
+    (
+        df.write.mode("overwrite")
+        .option("partitionOverwriteMode", "static")
+        .partitionBy("dt")
+        .orc(_version_path(path, day), compression="snappy")
+    )
+
+
+def read_version(spark: SparkSession, path: str, day: str, schema: T.StructType) -> DataFrame:
+    """Open rows after the run of ``day``, and the rows that run closed."""
+    return spark.read.schema(schema).orc(_version_path(path, day))
+
+
+def read_history(spark: SparkSession, path: str, day: str, schema: T.StructType) -> DataFrame:
+    """The whole table as of the run of ``day``: all rows closed so far and the rows open after that run."""
+    rows = spark.read.schema(T.StructType([*schema.fields, T.StructField("run", T.StringType())])).orc(path)
+    closed = (F.col("run") <= F.lit(day)) & (F.col("dt") != F.lit(OPEN_END))
+    return rows.where(closed | ((F.col("run") == F.lit(day)) & (F.col("dt") == F.lit(OPEN_END)))).drop("run")
+
+
+def _version_path(path: str, day: str) -> str:
+    return f"{path.rstrip('/')}/run={day}"
+
+
 def accumulate_report(df: DataFrame, path: str, day: str) -> None:
     """Report that keeps all days: the run day is replaced, earlier days stay."""
     overwrite_partition(df.where(F.col("dt") == F.lit(day)), path, day)
