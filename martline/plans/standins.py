@@ -38,32 +38,37 @@ class Standins:
             rows = rows.where(F.col("o_orderdate") < F.lit(shift(last, 1)).cast("timestamp_ntz"))
         return rows
 
-    def headers(self, first: str | None = None, last: str | None = None) -> DataFrame:
-        """Orders with their customer's nation."""
-        customer = self.table("customer").select("c_custkey", "c_nationkey")
-        return self.orders(first, last).join(customer, F.col("o_custkey") == F.col("c_custkey"), "left")
+    def headers(self, first: str | None = None, last: str | None = None, province: bool = True) -> DataFrame:
+        """Orders with their text columns made once per order, and their customer's nation where asked for."""
+        rows = self.orders(first, last).select(
+            "*", _text("o_orderkey").alias("order_id"), _text("o_custkey").alias("user_id"),
+            _day("o_orderdate").alias("day"), _time("o_orderdate").alias("order_time"),
+        )
+        if not province:
+            return rows
+        customer = self.table("customer").select("c_custkey", _text("c_nationkey").alias("province_id"))
+        return rows.join(customer, F.col("o_custkey") == F.col("c_custkey"), "left")
+
+    def lines(self, first: str | None = None, last: str | None = None, province: bool = False) -> DataFrame:
+        return self.table("lineitem").join(
+            self.headers(first, last, province), F.col("l_orderkey") == F.col("o_orderkey")
+        )
 
     def order_detail(
         self, first: str | None = None, last: str | None = None, province: bool = False
     ) -> DataFrame:
         """Order lines in the shape of the order detail fact, with the province where it is asked for."""
-        headers = self.headers(first, last) if province else self.orders(first, last)
-        lines = self.table("lineitem").join(headers, F.col("l_orderkey") == F.col("o_orderkey"))
         original = money("l_extendedprice")
         cut = money(original * F.col("l_discount").cast("decimal(4,2)"))
         by_activity = F.col("l_discount") >= F.lit(0.05)
         none = F.lit(0).cast(MONEY)
-        return lines.select(
-            _line_id().alias("id"),
-            _text("l_orderkey").alias("order_id"), _text("o_custkey").alias("user_id"),
-            _text("l_partkey").alias("sku_id"),
-            *([_text("c_nationkey").alias("province_id")] if province else []),
-            _day("o_orderdate").alias("date_id"), F.col("l_quantity").cast("bigint").alias("sku_num"),
-            original.alias("split_original_amount"),
+        return self.lines(first, last, province).select(
+            _line_id().alias("id"), "order_id", "user_id", _text("l_partkey").alias("sku_id"),
+            *(["province_id"] if province else []), F.col("day").alias("date_id"),
+            F.col("l_quantity").cast("bigint").alias("sku_num"), original.alias("split_original_amount"),
             F.when(by_activity, cut).otherwise(none).alias("split_activity_amount"),
             F.when(by_activity, none).otherwise(cut).alias("split_coupon_amount"),
-            money(original - cut).alias("split_total_amount"),
-            _day("o_orderdate").alias("dt"),
+            (original - cut).cast(MONEY).alias("split_total_amount"), F.col("day").alias("dt"),
         )
 
     def order_feeds(
@@ -73,17 +78,15 @@ class Standins:
 
         Every change is filed under its order day; a bootstrap copy is filed under one day.
         """
-        joined = self.table("lineitem").join(
-            self.orders(first, last), F.col("l_orderkey") == F.col("o_orderkey")
-        )
-        dt = F.lit(ORDER_DAY) if kind == "bootstrap-insert" else _day("o_orderdate")
+        joined = self.lines(first, last)
+        dt = F.lit(ORDER_DAY) if kind == "bootstrap-insert" else F.col("day")
         original = money("l_extendedprice")
         cut = money(original * F.col("l_discount").cast("decimal(4,2)"))
         activity = F.col("l_discount") >= F.lit(0.05)
         details = joined.select(
             *_envelope(
                 kind,
-                _line_id().alias("id"), _text("l_orderkey").alias("order_id"), _text("l_partkey").alias("sku_id"),
+                _line_id().alias("id"), "order_id", _text("l_partkey").alias("sku_id"),
                 money("l_extendedprice").alias("order_price"), F.col("l_quantity").cast("bigint").alias("sku_num"),
                 money(original - cut).alias("split_total_amount"),
                 F.when(activity, cut).alias("split_activity_amount"),
@@ -94,8 +97,7 @@ class Standins:
         headers = self.headers(first, last).select(
             *_envelope(
                 kind,
-                _text("o_orderkey").alias("id"), _text("o_custkey").alias("user_id"),
-                _text("c_nationkey").alias("province_id"), _time("o_orderdate").alias("create_time"),
+                F.col("order_id").alias("id"), "user_id", "province_id", F.col("order_time").alias("create_time"),
                 money("o_totalprice").alias("original_total_amount"),
                 F.lit(None).cast(MONEY).alias("activity_reduce_amount"),
                 money(F.lit(1)).alias("coupon_reduce_amount"),
@@ -142,9 +144,8 @@ class Standins:
         paid = F.col("o_orderstatus").isin("F", "P") & (_day(paid_at) < F.lit(day))
         none = F.lit(None).cast("string")
         return rows.where((F.col("o_orderstatus") != "F") | (_day(done) >= F.lit(day))).select(
-            _text("o_orderkey").alias("order_id"), _text("o_custkey").alias("user_id"),
-            _text("c_nationkey").alias("province_id"), _day("o_orderdate").alias("order_date_id"),
-            _time("o_orderdate").alias("order_time"), F.when(paid, _day(paid_at)).alias("payment_date_id"),
+            "order_id", "user_id", "province_id", F.col("day").alias("order_date_id"), "order_time",
+            F.when(paid, _day(paid_at)).alias("payment_date_id"),
             F.when(paid, _time(paid_at)).alias("payment_time"), none.alias("finish_date_id"),
             none.alias("finish_time"), money("o_totalprice").alias("order_original_amount"),
             F.lit(None).cast(MONEY).alias("order_activity_amount"),
@@ -174,40 +175,33 @@ class Standins:
     def payments(self) -> DataFrame:
         """Paid order lines in the shape of the payment fact, each with the whole order's total."""
         paid_at = _plus_seconds(F.col("o_orderdate"), F.col("o_orderkey") % 172800)
-        lines = self.table("lineitem").join(
-            self.table("orders").where(F.col("o_orderstatus").isin("F", "P")),
-            F.col("l_orderkey") == F.col("o_orderkey"),
+        paid = self.orders().where(F.col("o_orderstatus").isin("F", "P")).select(
+            "o_orderkey", _text("o_custkey").alias("user_id"), _text("o_orderkey").alias("order_id"),
+            money("o_totalprice").alias("split_payment_amount"), _day(paid_at).alias("dt"),
         )
-        return lines.select(
-            _text("o_custkey").alias("user_id"), _text("l_orderkey").alias("order_id"),
-            F.col("l_quantity").cast("bigint").alias("sku_num"), money("o_totalprice").alias("split_payment_amount"),
-            _day(paid_at).alias("dt"),
+        return self.table("lineitem").join(paid, F.col("l_orderkey") == F.col("o_orderkey")).select(
+            "user_id", "order_id", F.col("l_quantity").cast("bigint").alias("sku_num"), "split_payment_amount", "dt"
         )
 
     def coupon_used(self, first: str | None = None, last: str | None = None) -> DataFrame:
-        lines = self.table("lineitem").where((F.col("l_discount") > 0) & (F.col("l_discount") < 0.05)).join(
-            self.orders(first, last), F.col("l_orderkey") == F.col("o_orderkey")
-        )
+        lines = self.lines(first, last).where((F.col("l_discount") > 0) & (F.col("l_discount") < 0.05))
         return lines.select(
-            _line_id().alias("id"), _coupon().alias("coupon_id"), _text("o_custkey").alias("user_id"),
-            _text("l_orderkey").alias("order_id"), _time("o_orderdate").alias("used_time"),
-            _day("o_orderdate").alias("dt"),
+            _line_id().alias("id"), _coupon().alias("coupon_id"), "user_id", "order_id",
+            F.col("order_time").alias("used_time"), F.col("day").alias("dt"),
         )
 
     def coupon_use_feed(self, kind: str, first: str | None = None, last: str | None = None) -> DataFrame:
         """Coupon uses; returned lines only touch another field than ``used_time``."""
-        rows = self.table("lineitem").where((F.col("l_discount") > 0) & (F.col("l_discount") < 0.05)).join(
-            self.orders(first, last), F.col("l_orderkey") == F.col("o_orderkey")
-        )
+        rows = self.lines(first, last).where((F.col("l_discount") > 0) & (F.col("l_discount") < 0.05))
         used = F.col("l_returnflag") != "R"
-        dt = F.lit(ORDER_DAY) if kind == "bootstrap-insert" else _day("o_orderdate")
+        dt = F.lit(ORDER_DAY) if kind == "bootstrap-insert" else F.col("day")
         old = F.when(used, F.create_map(F.lit("used_time"), F.lit(""))).otherwise(
             F.create_map(F.lit("coupon_status"), F.lit("1401"))
         )
         return rows.select(
             *_envelope(
-                kind, _line_id().alias("id"), _coupon().alias("coupon_id"), _text("o_custkey").alias("user_id"),
-                _text("l_orderkey").alias("order_id"), F.when(used, _time("o_orderdate")).alias("used_time"),
+                kind, _line_id().alias("id"), _coupon().alias("coupon_id"), "user_id", "order_id",
+                F.when(used, F.col("order_time")).alias("used_time"),
                 old=old if kind == "update" else None,
             ),
             dt.alias("dt"),
@@ -215,9 +209,8 @@ class Standins:
 
     def carts(self) -> DataFrame:
         """Cart snapshot: lines of open orders are not ordered yet, the others are."""
-        lines = self.table("lineitem").join(self.table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-        return lines.select(
-            _line_id().alias("id"), _text("o_custkey").alias("user_id"), _text("l_partkey").alias("sku_id"),
+        return self.lines().select(
+            _line_id().alias("id"), "user_id", _text("l_partkey").alias("sku_id"),
             F.concat(F.lit("sku "), "l_partkey").alias("sku_name"), F.col("l_quantity").cast("bigint").alias("sku_num"),
             F.when(F.col("o_orderstatus") == "O", "0").otherwise("1").alias("is_ordered"),
             F.lit(ORDER_DAY).alias("dt"),
@@ -544,7 +537,7 @@ class Standins:
         )
 
 
-def _envelope(kind: str, *data: Column, old: Column | None = None) -> list[Column]:
+def _envelope(kind: str, *data: Column | str, old: Column | None = None) -> list[Column]:
     return [
         F.lit(kind).alias("type"), F.lit(0).cast("bigint").alias("ts"), F.struct(*data).alias("data"),
         (old if old is not None else F.lit(None).cast("map<string,string>")).alias("old"),
@@ -560,7 +553,7 @@ def _time(column: Column | str) -> Column:
 
 
 def _day(column: Column | str) -> Column:
-    return F.substring(_text(column), 1, 10)
+    return _text((F.col(column) if isinstance(column, str) else column).cast("date"))
 
 
 def _plus_seconds(column: Column, seconds: Column) -> Column:
