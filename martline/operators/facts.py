@@ -235,7 +235,12 @@ def fact_register(
         pages = pages.groupBy(F.col("common.uid").alias("user_id")).agg(first).select("user_id", "first.device.*")
     else:
         pages = pages.select(F.col("common.uid").alias("user_id"), *device)
-    return new.join(pages, "user_id", "left").select(
+    # A user may have any number of page events. An inner join can be split on that side where an outer one cannot,
+    # so users without an event are added by their own join against the distinct users of the pages.
+    with_page = new.join(pages, "user_id")
+    without = new.join(pages.select("user_id").distinct(), "user_id", "left_anti")
+    registered = with_page.unionByName(without, allowMissingColumns=True)
+    return registered.select(
         "user_id", day_of("create_time").alias("date_id"), "create_time", *_DEVICE.values(),
         _stamp(day, first_day, day_of("create_time")),
     )
