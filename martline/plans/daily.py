@@ -6,6 +6,8 @@ day can be run again with the same result.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,6 +22,8 @@ TRADE_FLOW = schemas.row(
     " order_original_amount:d order_activity_amount:d order_coupon_amount:d order_total_amount:d payment_amount:d dt"
 )
 
+GROWING_TABLES = ("cart_info", "sku_info", "sku_attr_value", "sku_sale_attr_value", "spu_info", "coupon_info")
+
 
 class Warehouse:
     """Tables under one root folder."""
@@ -66,6 +70,28 @@ def run_day(w: Warehouse, landed: str, day: str, first_day: bool = False) -> Non
     build_reports(w, day)
 
 
+def import_full(
+    spark: SparkSession,
+    url: str,
+    landed: str,
+    day: str,
+    properties: dict[str, str] | None = None,
+    read: Callable[..., DataFrame] = jdbc.import_jdbc_full,
+    bounds: Callable[..., tuple[int, int]] = jdbc.key_bounds,
+) -> None:
+    """The 17 full table copies from the source database into landed files of ``day``.
+
+    The tables that grow with products and users are read in parallel ranges of their key.
+    """
+    for name, schema in schemas.SNAPSHOTS.items():
+        ranges = {}
+        if name in GROWING_TABLES:
+            ranges = {"partition_column": "id", "bounds": bounds(spark, url, name, "id", properties)}
+        rows = read(spark, url, table=name, columns=schema.fieldNames(), properties=properties, **ranges)
+        typed = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
+        files.write_snapshot_tsv(typed, f"{landed.rstrip('/')}/full/{name}_full", day)
+
+
 def load_raw(w: Warehouse, landed: str, day: str) -> None:
     """Landed day of the log, the 13 change feeds and the 17 full copies."""
     landed = landed.rstrip("/")

@@ -49,6 +49,15 @@ def jdbc_read_options(
     return options
 
 
+def key_bounds(
+    spark: SparkSession, url: str, table: str, column: str, properties: dict[str, str] | None = None
+) -> tuple[int, int]:
+    """Smallest and largest value of a numeric key, asked of the database as one row."""
+    query = f"SELECT MIN({column}) AS low, MAX({column}) AS high FROM {table}"
+    low, high = import_jdbc_full(spark, url, query=query, properties=properties).first()
+    return int(low or 0), int(high or 0)
+
+
 def export_statements(
     table: str, staging: str, columns: Sequence[str], day: str, upsert: bool = False
 ) -> list[str]:

@@ -78,6 +78,24 @@ def test_jdbc_read_options():
         jdbc.jdbc_read_options("jdbc:x", "t", None, None, "id", None, 1)
 
 
+def test_import_copies_every_table_and_splits_the_growing_ones(spark, tmp_path, rows):
+    from martline.plans import daily
+
+    asked = {}
+
+    def read(session, url, table, columns, properties, **ranges):
+        asked[table] = ranges
+        values = ", ".join(f"'{7 if c != 'sku_name' else 'a name'}' as {c}" for c in columns)
+        return session.sql(f"select {values}")
+
+    daily.import_full(spark, "jdbc:x", str(tmp_path), DAY, read=read, bounds=lambda *_: (1, 9))
+    assert set(asked) == set(schemas.SNAPSHOTS)
+    assert {t for t, r in asked.items() if r} == set(daily.GROWING_TABLES)
+    assert asked["sku_info"] == {"partition_column": "id", "bounds": (1, 9)}
+    back = files.read_snapshot_tsv(spark, str(tmp_path / "full" / "sku_info_full"), schemas.SNAPSHOTS["sku_info"], DAY)
+    assert rows(back, "id", "price", "sku_name") == [("7", Decimal("7.00"), "a name")]
+
+
 def test_export_stages_the_day_then_replaces_it(spark):
     done = []
     report = spark.createDataFrame([(DAY, 1), ("2022-06-07", 2)], "dt string, n int")
