@@ -29,32 +29,42 @@ def top_ranked(df: DataFrame, group: str, value: str, limit: int, rank: str = "r
 def number_and_next(
     df: DataFrame, groups: list[str], order: list[str], chunk: Column, carry: str, number: str, following: str
 ) -> DataFrame:
-    """``row_number()`` and ``lead(carry)`` within ``groups``, computed chunk by chunk.
+    """``groups``, ``carry``, its ``row_number()`` and its ``lead()`` within ``groups``, computed chunk by chunk.
 
-    ``chunk`` is a coarser form of the first ordering column. Rows are shuffled once, by (groups, chunk), so a group
-    that holds a large share of all rows is spread over its chunks; per-chunk counts and first values, one small row
-    each, supply the offset and the value that follows a chunk's last row. ``following`` is a one-field struct that
-    is NULL only where no row follows, because the carried value itself may be NULL.
+    ``chunk`` is a coarser form of the first ordering column. Rows are shuffled by (groups, chunk), so a group that
+    holds a large share of all rows is spread over its chunks; the size and first value of each chunk, one small row,
+    supply the offset and the value that follows a chunk's last row. ``following`` is a one-field struct that is NULL
+    only where no row follows, because the carried value itself may be NULL.
     """
-    # Keys are made non-null so that the join below can reuse the window's partitioning.
+    # Keys are made non-null so that the join can use the window's partitioning. Numbered rows and chunk heads come
+    # from the same columns, so both read one shuffle of the rows.
     keys = {f"_g{i}": _never_null(F.col(name)) for i, name in enumerate(groups)}
-    rows = df.withColumns({**keys, "_chunk": _never_null(chunk), "_carry": F.struct(F.col(carry).alias("v"))})
-    inside = W.partitionBy(*keys, "_chunk").orderBy(*order)
-    numbered = rows.withColumns({"_n": F.row_number().over(inside), "_next": F.lead("_carry").over(inside)})
-    chunks = rows.groupBy(*keys, "_chunk").agg(
-        F.count(F.lit(1)).alias("_size"), F.min(F.struct(*order, "_carry")).alias("_first")
+    rows = df.select(
+        *[column.alias(name) for name, column in keys.items()], _never_null(chunk).alias("_chunk"),
+        *dict.fromkeys([*order, carry]),
     )
+    inside = W.partitionBy(*keys, "_chunk").orderBy(*order)
+    whole = inside.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    numbered = rows.withColumns({
+        "_n": F.row_number().over(inside), "_size": F.count(F.lit(1)).over(whole), "_next": F.lead(carry).over(inside),
+    })
+    heads = numbered.where(F.col("_n") == 1)
     by_chunk = W.partitionBy(*keys).orderBy("_chunk")
     offset = F.coalesce(F.sum("_size").over(by_chunk.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    chunks = chunks.select(
-        *keys, "_chunk", offset.alias("_offset"), F.lead("_first._carry").over(by_chunk).alias("_after")
-    )
+    after = F.lead(F.struct(F.col(carry).alias("v"))).over(by_chunk)
+    chunks = heads.select(*keys, "_chunk", offset.alias("_offset"), after.alias("_after"))
     joined = numbered.join(chunks, [*keys, "_chunk"], "inner")
-    return joined.withColumns(
-        {number: F.col("_n") + F.col("_offset"), following: F.coalesce("_next", "_after")}
-    ).drop(*keys, "_chunk", "_carry", "_n", "_next", "_offset", "_after")
+    next_one = F.when(F.col("_n") < F.col("_size"), F.struct(F.col("_next").alias("v"))).otherwise(F.col("_after"))
+    return joined.select(
+        *[_restored(key).alias(name) for key, name in zip(keys, groups)], carry,
+        (F.col("_n") + F.col("_offset")).alias(number), next_one.alias(following),
+    )
 
 
 def _never_null(key: Column) -> Column:
     """The key as text, with a mark that keeps NULL apart from every value and first in order."""
     return F.coalesce(F.concat(F.lit("="), key.cast("string")), F.lit(""))
+
+
+def _restored(key: str) -> Column:
+    return F.when(F.col(key) != F.lit(""), F.expr(f"substring({key}, 2)"))

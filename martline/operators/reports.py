@@ -114,12 +114,17 @@ def _traffic(sessions: DataFrame, day: str, starts: Mapping[int, str]) -> DataFr
     return _stacked(both, ["channel"], day, per_window).where(F.col("rows") > 0).drop("rows")
 
 
-def page_path(views: DataFrame, day: str | None) -> DataFrame:
-    """Steps between consecutive pages of a session; the last page leads to ``out``."""
+def page_path(views: DataFrame, day: str | None, chunk_minutes: int = 5) -> DataFrame:
+    """Steps between consecutive pages of a session; the last page leads to ``out``.
+
+    A session is numbered in pieces of ``chunk_minutes``: long enough that a usual session has few, short enough that
+    a session with very many events is spread over hundreds of tasks.
+    """
     rows = on_day(views, day).select("dt", "session_id", "view_time", "ts", "page_id")
-    minute = F.substring("view_time", 1, 16)
+    piece = F.floor(F.substring("view_time", 15, 2).try_cast("int") / chunk_minutes).cast("string")
+    chunk = F.concat(F.substring("view_time", 1, 14), F.lpad(piece, 2, "0"))
     steps = number_and_next(
-        rows, ["dt", "session_id"], ["view_time", "ts", "page_id"], minute, "page_id", "rn", "following"
+        rows, ["dt", "session_id"], ["view_time", "ts", "page_id"], chunk, "page_id", "rn", "following"
     )
     following = F.when(F.col("following").isNull(), F.lit("out")).otherwise(F.col("following.v"))
     # The wording of path nodes.
