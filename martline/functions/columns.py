@@ -9,7 +9,8 @@ MONEY = "decimal(16,2)"
 
 
 def money(column: Column | str) -> Column:
-    return _col(column).cast(MONEY)
+    """As ``MONEY``; a value that does not fit becomes NULL, as it does where the tables came from."""
+    return _col(column).try_cast(MONEY)
 
 
 def day_of(column: Column | str) -> Column:
@@ -45,7 +46,7 @@ def seconds_between(start: Column | str, end: Column | str) -> Column:
 
 def ratio(part: Column, whole: Column, scale: int = 1) -> Column:
     """``part / whole * scale`` as money-typed ratio, NULL for an empty whole."""
-    return F.try_divide(part * F.lit(scale), whole).cast(MONEY)
+    return F.try_divide(part * F.lit(scale), whole).try_cast(MONEY)
 
 
 def whole_average(total: Column, count: Column) -> Column:

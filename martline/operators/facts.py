@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martline.functions.changefeed import BOOTSTRAP, INSERT, changed, is_new_row
-from martline.functions.columns import MONEY, day_of, in_days, local_day, local_time, on_day
+from martline.functions.columns import MONEY, day_of, in_days, local_day, local_time, money, on_day
 from martline.functions.dates import OPEN_END, shift
 from martline.operators.dims import PAY_TYPE, decode_dictionary
 
@@ -71,7 +71,7 @@ def _order_lines(
 ) -> DataFrame:
     lines = details.select(
         "data.id", "data.order_id", "data.sku_id", "data.sku_num",
-        (F.col("data.order_price") * F.col("data.sku_num")).cast(MONEY).alias("split_original_amount"),
+        money(F.col("data.order_price") * F.col("data.sku_num")).alias("split_original_amount"),
         _or_zero("data.split_activity_amount").alias("split_activity_amount"),
         _or_zero("data.split_coupon_amount").alias("split_coupon_amount"),
         "data.split_total_amount",

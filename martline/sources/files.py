@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,7 +34,31 @@ def read_change_feed(
 
 
 def _landed_json(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return spark.read.schema(T.StructType([*schema.fields, T.StructField("dt", T.StringType())])).json(path)
+    """JSON with declared types. Whole numbers may also come as quoted text, which the plain reader would drop."""
+    folders = [T.StructField("dt", T.StringType())]
+    rows = spark.read.schema(T.StructType([*_as_text(schema).fields, *folders])).json(path)
+    return rows.select(*[_as_declared(F.col(f.name), f.dataType).alias(f.name) for f in schema], "dt")
+
+
+def _as_text(dtype: T.DataType) -> T.DataType:
+    """The type with every whole number replaced by text."""
+    if isinstance(dtype, T.StructType):
+        return T.StructType([T.StructField(f.name, _as_text(f.dataType)) for f in dtype])
+    if isinstance(dtype, T.ArrayType):
+        return T.ArrayType(_as_text(dtype.elementType))
+    return T.StringType() if isinstance(dtype, T.LongType) else dtype
+
+
+def _as_declared(column: Column, dtype: T.DataType) -> Column:
+    """The reverse of :func:`_as_text`, field by field, so that one bad value costs only itself."""
+    if _as_text(dtype) == dtype:
+        return column
+    if isinstance(dtype, T.StructType):
+        fields = [_as_declared(column[f.name], f.dataType).alias(f.name) for f in dtype]
+        return F.when(column.isNotNull(), F.struct(*fields))
+    if isinstance(dtype, T.ArrayType):
+        return F.transform(column, lambda element: _as_declared(element, dtype.elementType))
+    return column.try_cast(dtype)
 
 
 def read_snapshot_tsv(spark: SparkSession, path: str, schema: T.StructType, day: str) -> DataFrame:

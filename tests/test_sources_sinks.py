@@ -27,6 +27,19 @@ def test_log_fields_may_be_missing_or_unknown(spark, tmp_path, rows):
     ]
 
 
+def test_whole_numbers_may_be_quoted_and_a_bad_one_costs_only_itself(spark, tmp_path, rows):
+    changes = [
+        {"type": "insert", "ts": "7", "data": {"id": 1, "sku_num": "3", "cart_price": "1.50"}},
+        {"type": "insert", "ts": 8, "data": {"id": "2", "sku_num": "many", "cart_price": 2}},
+        {"type": "insert", "ts": 9},
+    ]
+    write_gz(tmp_path / f"dt={DAY}" / "a.gz", [json.dumps(c) for c in changes])
+    feed = files.read_change_feed(spark, str(tmp_path), schemas.FEED_DATA["cart_info"], DAY)
+    assert rows(feed, "ts", "data.id", "data.sku_num", "data.cart_price", feed["data"].isNull()) == [
+        (7, "1", 3, Decimal("1.50"), False), (8, "2", None, Decimal("2.00"), False), (9, None, None, None, True),
+    ]
+
+
 def test_change_feed_of_one_table_under_a_common_root(spark, tmp_path, rows):
     change = {"type": "update", "ts": 1, "data": {"id": "1", "sku_num": 2}, "old": {"sku_num": None}}
     write_gz(tmp_path / "table=cart_info_inc" / f"dt={DAY}" / "a.gz", [json.dumps(change)])
