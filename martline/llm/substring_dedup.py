@@ -97,8 +97,8 @@ def remove_repeats(docs: DataFrame, text: str = "text", length: int = 35, chunks
     spark = docs.sparkSession
     frames.ready(spark)
     parts = frames.width(spark)
-    chunks = chunks or 2 * parts
-    ranges = 2 * parts
+    chunks = chunks or parts
+    ranges = parts
     body = F.col(f"`{text}`")
     chunk = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c, kind in docs.dtypes if "map" not in kind]), F.lit(chunks)).cast("long")
     dealt = frames.packed(docs, text=body, chunk=chunk)
