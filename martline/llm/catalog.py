@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from martline.llm import line_quality, simhash_golay, substring_dedup
+from martline.llm import line_quality, simhash_golay, substring_dedup, toxicity
 
 QUERIES = {
     "op1_substring_dedup": substring_dedup.op1_substring_dedup,
     "op2_simhash_near_dedup": simhash_golay.op2_simhash_near_dedup,
     "op7_line_frequency_rules": line_quality.op7_line_frequency_rules,
+    "op10_toxicity_chain": toxicity.op10_toxicity_chain,
 }
 
 SQL = {

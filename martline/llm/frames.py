@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import shutil
+import sys
 import tempfile
 from collections.abc import Sequence
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -58,3 +62,11 @@ def unpacked(df: DataFrame, columns: Sequence[str], *more: str) -> DataFrame:
     """The columns of a ``row`` struct and the ``more`` ones, which win where the names clash."""
     kept = [F.col("row")[c].alias(c) for c in columns if c not in more]
     return df.select(*kept, *more)
+
+
+def trim() -> None:
+    """In a worker: give freed memory back, which Python workers otherwise hold from one group to the next."""
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        with contextlib.suppress(AttributeError, OSError):  # another C library than glibc
+            ctypes.CDLL(None).malloc_trim(0)

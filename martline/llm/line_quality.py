@@ -88,12 +88,10 @@ def _measured(texts: pa.Array) -> dict[str, list]:
     found = words.scan(texts)
     hashes = found.hashes()
     starts = (data & 0xC0) != 0x80
-    space = np.zeros(256, bool)
-    space[[0x20, *range(0x09, 0x0E)]] = True
     symbol = np.zeros(256, bool)
     symbol[list(SYMBOLS)] = True
     out = {
-        "n_words": found.counts().tolist(), "word_chars": _per_text(starts & ~space[data], at).tolist(),
+        "n_words": found.counts().tolist(), "word_chars": _per_text(starts & words.INSIDE[data], at).tolist(),
         "n_symbols": _per_text(symbol[data], at).tolist(), "n_repeat_words": _repeat_words(found, hashes).tolist(),
         "n_dup_lines": [], "lines": [], "sketch": _sketches(found, hashes),
     }

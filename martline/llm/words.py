@@ -17,8 +17,9 @@ _BYTE_BASE = 0x9E3779B97F4A7C15
 _WORD_BASE = 0xC2B2AE3D27D4EB4F
 _BLOCK = 1 << 20
 _U = np.uint64
-_SPACE = np.zeros(256, bool)
-_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+#: Bytes of words.
+INSIDE = np.ones(256, bool)
+INSIDE[[0x20, *range(0x09, 0x0E)]] = False
 _POWERS: dict[int, np.ndarray] = {}
 
 
@@ -65,16 +66,24 @@ class Words:
     first: np.ndarray
 
     def hashes(self) -> np.ndarray:
-        out = np.empty(len(self.starts), np.uint64)
+        return self.stems(())[0][1]
+
+    def stems(self, sizes: tuple[int, ...]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Word indexes and hashes: of all words whole, then for each of ``sizes`` of the first bytes of words that long."""
+        out: list[list[tuple[np.ndarray, np.ndarray]]] = [[(np.zeros(0, np.int64), np.zeros(0, np.uint64))] for _ in (0, *sizes)]
         at = 0
-        while at < len(out):
+        while at < len(self.starts):
             upto = max(at + 1, int(np.searchsorted(self.ends, self.starts[at] + _BLOCK)))
             low, high = self.starts[at], self.ends[upto - 1]
             sums = _sums(_BYTES[self.data[low:high]], _BYTE_BASE)
             s, e = self.starts[at:upto] - low, self.ends[at:upto] - low
-            out[at:upto] = mix(_between(sums, s, e, _BYTE_BASE) + (e - s).astype(np.uint64))
+            every = np.arange(at, upto)
+            out[0].append((every, mix(_between(sums, s, e, _BYTE_BASE) + (e - s).astype(np.uint64))))
+            for k, n in enumerate(sizes, 1):
+                long = e - s >= n
+                out[k].append((every[long], mix(_between(sums, s[long], s[long] + n, _BYTE_BASE) ^ _U(n << 32))))
             at = upto
-        return out
+        return [(np.concatenate([x[0] for x in part]), np.concatenate([x[1] for x in part])) for part in out]
 
     def counts(self) -> np.ndarray:
         return np.diff(self.first)
@@ -109,9 +118,10 @@ def raw(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[at[0] : at[-1]], at - at[0]
 
 
-def scan(texts: pa.Array) -> Words:
+def scan(texts: pa.Array, inside: np.ndarray = INSIDE) -> Words:
+    """Words of all texts; ``inside`` says which bytes belong to words."""
     data, at = raw(texts)
-    inside = ~_SPACE[data]
+    inside = inside[data]
     edge = np.zeros(len(data) + 1, bool)
     edge[at] = True
     before = np.zeros(len(data), bool)
