@@ -59,6 +59,7 @@ def _member(values: np.ndarray, ordered: np.ndarray) -> np.ndarray:
 
 def _dealt(chunk: int, values: np.ndarray, ranges: int) -> pa.Table:
     """One row for each range of hashes that the chunk has values of."""
+    frames.trim()
     part = ((values >> np.uint64(32)) * np.uint64(ranges)) >> np.uint64(32)
     names, begin = np.unique(part, return_index=True)
     cut = np.split(values, begin[1:]) if len(names) else []
@@ -76,6 +77,7 @@ def _repeated(rows: DataFrame) -> DataFrame:
         every = np.sort(np.concatenate(sent))
         again = np.unique(every[1:][every[1:] == every[:-1]])
         back = [np.unique(s[_member(s, again)]).tobytes() for s in sent]
+        frames.trim()
         return pa.table({"chunk": group["chunk"], "hashes": pa.array(back, pa.binary())}).filter(pa.array([b != b"" for b in back], pa.bool_()))
 
     return rows.groupBy("part").applyInArrow(answer, "chunk long, hashes binary")
@@ -97,8 +99,8 @@ def remove_repeats(docs: DataFrame, text: str = "text", length: int = 35, chunks
     spark = docs.sparkSession
     frames.ready(spark)
     parts = frames.width(spark)
-    chunks = chunks or parts
-    ranges = parts
+    chunks = chunks or 2 * parts
+    ranges = max(1, parts // 2)
     body = F.col(f"`{text}`")
     chunk = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c, kind in docs.dtypes if "map" not in kind]), F.lit(chunks)).cast("long")
     dealt = frames.packed(docs, text=body, chunk=chunk)
@@ -144,6 +146,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", length: int = 35, chunks
                 n_words.append(int(b - a))
                 n_removed.append(int(lost.sum()))
                 kept.append(b" ".join(own if not n_removed[-1] else [own[i] for i in np.flatnonzero(~lost)]))
+        frames.trim()
         return pa.table({
             "row": group["row"], "n_words": pa.array(n_words, pa.int64()), "n_removed": pa.array(n_removed, pa.int64()),
             "kept_text": pa.array(kept, pa.binary()).cast(pa.string()),
