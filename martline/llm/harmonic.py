@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martline.llm import frames
-from martline.llm.tokens import PieceEncoder
+from martline.llm.tokens import TextEncoder
 
 CAPACITY, SMALL = 2048, 96
 END_ID = 1
@@ -88,7 +88,7 @@ def pack(docs: DataFrame, tokenizer: str, text: str = "text", capacity: int = CA
     schema = T.StructType([dealt.schema["row"], *[T.StructField(c, T.LongType()) for c in _PIECES], *ids_type])
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, bins, base, number = PieceEncoder.of(tokenizer), Bins(capacity), 0, 0
+        encoder, bins, base, number = TextEncoder.of(tokenizer), Bins(capacity), 0, 0
         done: list[tuple] = []
 
         def close(bin_: list) -> None:
@@ -113,8 +113,8 @@ def pack(docs: DataFrame, tokenizer: str, text: str = "text", capacity: int = CA
             if b.num_rows:
                 base = b.column("task")[0].as_py() * _TASK
             rows = b.column("row")
-            for k, t in enumerate(b.column("text")):
-                ids = encoder.encode(t.as_py() or "") + end_id.to_bytes(4, "little")
+            for k, ids in enumerate(encoder.encode([t or "" for t in b.column("text").to_pylist()])):
+                ids += end_id.to_bytes(4, "little")
                 total, at, own = len(ids) // 4, 0, rows.take(pa.array([k]))  # a copy: a waiting piece must not hold its batch
                 for n in cuts(total, capacity, small):
                     part = ids[4 * at : 4 * (at + n)]
