@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from martline.llm import harmonic, line_quality, simhash_golay, substring_dedup, toxicity
+from martline.llm import bpe, harmonic, line_quality, simhash_golay, substring_dedup, toxicity
 
 QUERIES = {
     "op1_substring_dedup": substring_dedup.op1_substring_dedup,
     "op2_simhash_near_dedup": simhash_golay.op2_simhash_near_dedup,
     "op6_harmonic_packing": harmonic.op6_harmonic_packing,
     "op7_line_frequency_rules": line_quality.op7_line_frequency_rules,
+    "op8_bpe_round_trip": bpe.op8_bpe_round_trip,
     "op10_toxicity_chain": toxicity.op10_toxicity_chain,
 }
 
