@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from martline.llm import ball_tree, bpe, harmonic, line_quality, simhash_golay, substring_dedup, toxicity, warc
+from martline.llm import ball_tree, bpe, harmonic, html_layout, line_quality, simhash_golay, substring_dedup, toxicity, warc
 
 QUERIES = {
     "op1_substring_dedup": substring_dedup.op1_substring_dedup,
@@ -12,6 +12,7 @@ QUERIES = {
     "op6_harmonic_packing": harmonic.op6_harmonic_packing,
     "op7_line_frequency_rules": line_quality.op7_line_frequency_rules,
     "op8_bpe_round_trip": bpe.op8_bpe_round_trip,
+    "op9_html_layout_text": html_layout.op9_html_layout_text,
     "op10_toxicity_chain": toxicity.op10_toxicity_chain,
 }
 
