@@ -5,7 +5,7 @@ get the table parts that are missing around them, end tags without a start are i
 anywhere. A walk over the tree then writes the text: nothing from what is not shown (head, scripts, styles, templates,
 ``hidden`` elements, ``display:none``), blocks on lines of their own with blank lines around paragraphs and headings, list
 items behind their marks and indented by depth, preformatted text as it is, and table cells in aligned columns.
-Both steps keep their own stacks, so no depth of nesting and no length of page is too much for them.
+Both steps keep their own stacks, at most 512 elements are open at once, as in browsers, and no length of page is too much.
 """
 
 from __future__ import annotations
@@ -30,6 +30,8 @@ BLOCK = frozenset("""html body address article aside center details dialog dd di
 li main nav section summary option optgroup caption""".split())
 CELLS, PARTS = frozenset(("td", "th")), frozenset(("thead", "tbody", "tfoot"))
 TABLE = CELLS | PARTS | {"tr", "table", "caption", "colgroup"}
+#: Elements that may be open at once.
+DEPTH = 512
 #: A start tag closes the open elements named here, up to the nearest of the ones after them.
 CLOSES = {
     "li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
@@ -86,7 +88,8 @@ class Builder:
     def _push(self, tag: str, attributes: dict[str, str] | None = None) -> None:
         node = Node(tag, attributes)
         self.open[-1].children.append(node)
-        if tag not in VOID:
+        # As in browsers, what is nested deeper has no children of its own, only hidden elements keep theirs to themselves.
+        if tag not in VOID and (len(self.open) < DEPTH or (len(self.open) == DEPTH and not node.seen())):
             self.open.append(node)
 
     def start(self, tag: str, attributes: dict[str, str]) -> None:
