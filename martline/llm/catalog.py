@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from martline.llm import ball_tree, bpe, harmonic, html_layout, line_quality, simhash_golay, substring_dedup, toxicity, warc
+from martline.llm import ball_tree, bpe, harmonic, html_layout, line_quality, preference, simhash_golay, substring_dedup, toxicity, warc
 
 QUERIES = {
     "op1_substring_dedup": substring_dedup.op1_substring_dedup,
     "op2_simhash_near_dedup": simhash_golay.op2_simhash_near_dedup,
     "op3_ball_tree_top_k": ball_tree.op3_ball_tree_top_k,
+    "op4_preference_format": preference.op4_preference_format,
     "op5_warc_index_merge": warc.op5_warc_index_merge,
     "op6_harmonic_packing": harmonic.op6_harmonic_packing,
     "op7_line_frequency_rules": line_quality.op7_line_frequency_rules,
@@ -17,6 +18,7 @@ QUERIES = {
 }
 
 SQL = {
+    "op4_preference_format": preference.SQL,
     "op5_warc_index_merge": warc.SQL,
     "op3_ball_tree_top_k": ball_tree.SQL,
     "op1_substring_dedup": substring_dedup.SQL,
