@@ -158,7 +158,9 @@ def top_k(df: DataFrame, is_query, vec_id: str = "vec_id", embedding: str = "emb
         return pa.table(dict(zip(("query_id", "vec_id", "score"), (pa.array(c, pa.int64()) for c in out), strict=True)))
 
     def met(some: DataFrame, asked: DataFrame) -> DataFrame:
-        some, asked = some.select(*pairs, "vec_id", "v"), asked.select(*pairs, "vec_id", "v", "floor")
+        # Aliases: both sides come from one table, and a cogroup tells columns by where they come from.
+        some = some.select(*[F.col(c).alias(c) for c in ("dim", "shard", "block", "vec_id", "v")])
+        asked = asked.select(*[F.col(c).alias(c) for c in ("dim", "shard", "block", "vec_id", "v", "floor")])
         return some.groupBy(*pairs).cogroup(asked.groupBy(*pairs)).applyInArrow(searched, result)
 
     first = met(candidates.filter(F.col("shard") == shard_of), queries.filter(F.col("shard") == shard_of).withColumn("floor", F.lit(None).cast("long")))
