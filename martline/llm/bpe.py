@@ -174,7 +174,7 @@ def _mapped(df: DataFrame, source: str, name: str, kind: T.DataType, arrow: pa.D
         for b in batches:
             yield pa.RecordBatch.from_arrays([b.column("row"), pa.array(each(b.column("value").to_pylist()), arrow)], ["row", name])
 
-    return frames.unpacked(dealt.mapInArrow(mapped, T.StructType([dealt.schema["row"], T.StructField(name, kind)])), df.columns, name)
+    return frames.unpacked(dealt.mapInArrow(frames.per_task(mapped), T.StructType([dealt.schema["row"], T.StructField(name, kind)])), df.columns, name)
 
 
 def encode(docs: DataFrame, vocabulary: str, text: str = "text", into: str = "ids") -> DataFrame:

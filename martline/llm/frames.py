@@ -7,7 +7,7 @@ import ctypes
 import shutil
 import sys
 import tempfile
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 from pathlib import Path
 
 import pyarrow as pa
@@ -45,7 +45,7 @@ def written(df: DataFrame) -> DataFrame:
     """The rows of ``df`` from a table in the shared folder: cuts the lineage and survives lost executors."""
     spark = df.sparkSession
     folder = new_folder(spark)
-    df.write.parquet(folder)
+    df.write.parquet(folder, compression="zstd")
     return spark.read.schema(df.schema).parquet(folder)
 
 
@@ -70,3 +70,17 @@ def trim() -> None:
     if sys.platform == "linux":
         with contextlib.suppress(AttributeError, OSError):  # another C library than glibc
             ctypes.CDLL(None).malloc_trim(0)
+
+
+def per_task(each: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``each`` for ``mapInArrow``, giving memory back after every batch that it has read."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def fresh() -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                yield b
+                trim()
+
+        yield from each(fresh())
+
+    return run

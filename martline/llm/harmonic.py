@@ -129,7 +129,7 @@ def pack(docs: DataFrame, tokenizer: str, text: str = "text", capacity: int = CA
         yield from flush()
 
     names = [*_PIECES, *(["ids"] if with_ids else [])]
-    return frames.unpacked(dealt.mapInArrow(packed, schema), columns, *names)
+    return frames.unpacked(dealt.mapInArrow(frames.per_task(packed), schema), columns, *names)
 
 
 def op6_harmonic_packing(spark, sf_dir: str) -> DataFrame:

@@ -383,7 +383,7 @@ def extract(pages: DataFrame, html: str = "html", into: str = "text", carry: Seq
             texts = [visible_text(p) for p in b.column("html").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("row"), pa.array(texts, pa.string())], ["row", into])
 
-    return frames.unpacked(dealt.mapInArrow(rendered, T.StructType([dealt.schema["row"], T.StructField(into, T.StringType())])), columns, into)
+    return frames.unpacked(dealt.mapInArrow(frames.per_task(rendered), T.StructType([dealt.schema["row"], T.StructField(into, T.StringType())])), columns, into)
 
 
 def op9_html_layout_text(spark, sf_dir: str) -> DataFrame:

@@ -120,7 +120,7 @@ def measured(docs: DataFrame, text: str, host: str, carry: Sequence[str]) -> Dat
                 names = [*_BASE, "lines", "sketch"]
                 yield pa.RecordBatch.from_arrays([part.column("row"), part.column("host"), *[pa.array(m[c], arrow[c]) for c in names]], ["row", "host", *names])
 
-    return dealt.mapInArrow(each, schema)
+    return dealt.mapInArrow(frames.per_task(each), schema)
 
 
 def frequent_lines(lined: DataFrame, max_documents: int = MAX_DOCUMENTS, max_share: float = MAX_SHARE, min_variety: float = MIN_VARIETY) -> DataFrame:

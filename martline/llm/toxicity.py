@@ -134,7 +134,7 @@ def _sampled(docs: DataFrame, labels: DataFrame, categories: Sequence[str], doc_
             yield pa.RecordBatch.from_arrays([b.column("at"), b.column("y"), pa.array(own, pa.list_(pa.int64()))], ["at", "y", "words"])
 
     chosen = texts.join(ids, "doc_id").select(F.xxhash64("text").alias("at"), "text", "y").groupBy("at").agg(F.min(F.struct("text", "y")).alias("x")).select("at", "x.text", "x.y")
-    return chosen.mapInArrow(listed, "at long, y array<int>, words array<long>")
+    return chosen.mapInArrow(frames.per_task(listed), "at long, y array<int>, words array<long>")
 
 
 def fit(docs: DataFrame, labels: DataFrame, categories: Sequence[str], doc_id: str = "doc_id", text: str = "text", max_rows: int = MAX_ROWS, words_per_category: int = WORDS_PER_CATEGORY, folds: int = FOLDS) -> Chain:
@@ -195,7 +195,7 @@ def scored(docs: DataFrame, chain: Chain, text: str = "text", threshold: float =
                 yield pa.RecordBatch.from_arrays([part.column("row"), *[pa.array(p[:, k]) for k in range(len(names))], pa.array((p >= threshold).any(axis=1))], ["row", *names, "toxic"])
 
     schema = T.StructType([dealt.schema["row"], *[T.StructField(c, T.DoubleType()) for c in names], T.StructField("toxic", T.BooleanType())])
-    return frames.unpacked(dealt.mapInArrow(each, schema), columns, *names, "toxic")
+    return frames.unpacked(dealt.mapInArrow(frames.per_task(each), schema), columns, *names, "toxic")
 
 
 CATEGORIES = ("toxic", "toxic_low_quality")

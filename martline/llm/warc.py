@@ -130,7 +130,7 @@ def read_archives(spark, folder: str) -> DataFrame:
                 yield pa.RecordBatch.from_pylist(rows, _ARROW)
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(folder).select("path", "content")
-    return files.mapInArrow(indexed, _INDEX)
+    return files.mapInArrow(frames.per_task(indexed), _INDEX)
 
 
 class LoserTree:
@@ -202,7 +202,7 @@ def merged(index: DataFrame, ranges: int | None = None) -> DataFrame:
         if held:
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held, strict=True), schema, strict=True)], schema=schema)
 
-    return keyed.repartitionByRange(ranges or frames.width(index.sparkSession), "key", "captured", "page_id").mapInArrow(merge, keyed.schema)
+    return keyed.repartitionByRange(ranges or frames.width(index.sparkSession), "key", "captured", "page_id").mapInArrow(frames.per_task(merge), keyed.schema)
 
 
 def histories(pages: DataFrame, captured: Column, **kw) -> DataFrame:
