@@ -161,7 +161,9 @@ def fact_trade_flow(
         F.col("data.total_amount").alias("order_total_amount"),
         F.lit(None).cast(MONEY).alias("payment_amount"),
     )
+    # A feed may deliver an insert twice; equal rows count once. Dealt by the key first, for the joins below use it again.
     tracked = new_orders if open_rows is None else open_rows.drop("dt").unionByName(new_orders)
+    tracked = tracked.repartition("order_id").distinct()
 
     paid = F.col("data.payment_status") == F.lit(PAID)
     paid = paid & ((F.col("type") == F.lit(BOOTSTRAP)) if first_day else changed("payment_status"))

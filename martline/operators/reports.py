@@ -71,35 +71,37 @@ def monthly_traffic(sessions: DataFrame, day: str) -> DataFrame:
 
 def _traffic(sessions: DataFrame, day: str, starts: Mapping[int, str]) -> DataFrame:
     rows = in_days(sessions, min(starts.values()), day)
-    additive = []
+    additive, names = [], []
     for length, start in starts.items():
         inside = F.col("dt") >= F.lit(start)
+        names += [f"{c}_{length}" for c in ("rows", "stay", "stays", "pages", "paged", "bounces")]
         stay, pages = F.when(inside, F.col("during_time_1d")), F.when(inside, F.col("page_count_1d"))
         additive += [
-            F.count(F.when(inside, 1)).alias(f"rows_{length}"),
+            F.count(F.when(inside, F.col("one"))).alias(f"rows_{length}"),
             F.sum(stay).alias(f"stay_{length}"), F.count(stay).alias(f"stays_{length}"),
             F.sum(pages).alias(f"pages_{length}"), F.count(pages).alias(f"paged_{length}"),
             F.count(F.when(pages == 1, 1)).alias(f"bounces_{length}"),
         ]
-    totals = rows.groupBy("channel").agg(*additive)
-    # A visitor or session id is one key per channel here; a hot channel is spread over its keys.
+    # One scan: a visitor or session id is one key per channel here, so a hot channel is spread over its keys, and the
+    # additive measures ride on the visitors' keys.
     keys = F.explode(F.array(
         F.struct(F.lit("visitor").alias("kind"), F.col("mid_id").alias("id")),
         F.struct(F.lit("session").alias("kind"), F.col("session_id").alias("id")),
     ))
-    latest = (
-        rows.select("channel", "dt", keys.alias("k"))
-        .where(F.col("k.id").isNotNull())
-        .groupBy("channel", "k.kind", "k.id")
-        .agg(F.max(day_number("dt")).alias("latest"))
+    visitor, measures = F.col("k.kind") == "visitor", ("during_time_1d", "page_count_1d")
+    per_key = (
+        rows.select("channel", "dt", *measures, keys.alias("k"))
+        .select("channel", "dt", "k.kind", "k.id", *[F.when(visitor, F.col(c)).alias(c) for c in measures],
+                F.when(visitor, F.lit(1)).alias("one"))
+        .groupBy("channel", "kind", "id")
+        .agg(F.max(day_number("dt")).alias("latest"), *additive)
     )
     seen = [
-        F.count(F.when((F.col("kind") == kind) & _since(start), 1)).alias(f"{kind}_{length}")
+        F.count(F.when((F.col("kind") == kind) & F.col("id").isNotNull() & _since(start), 1)).alias(f"{kind}_{length}")
         for length, start in starts.items()
         for kind in ("visitor", "session")
     ]
-    distinct = latest.groupBy(F.col("channel").alias("_channel")).agg(*seen)
-    both = totals.join(distinct, F.col("channel").eqNullSafe(F.col("_channel")), "left")
+    both = per_key.groupBy("channel").agg(*seen, *[F.sum(c).alias(c) for c in names])
     per_window = {}
     for length in starts:
         sessions_seen = F.coalesce(F.col(f"session_{length}"), F.lit(0))
@@ -242,19 +244,21 @@ def order_continuously_user_count(
 ) -> DataFrame:
     """Users with orders on ``run`` days in a row within the last ``span`` days.
 
-    The days of a user are one bit mask, built by aggregation; a run of days is a run of set bits.
+    A user's distinct days, at most ``span``, are one sorted array; in a run the day ``run - 1`` places on is as many days
+    later. Distinct days combine before the shuffle, and any ``run`` and ``span`` are right.
     """
-    first = window_start(day, span)
-    offset = F.datediff(F.col("dt").cast("date"), F.lit(first).cast("date"))
-    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), offset)
-    masks = (
-        in_days(orders, first, day).where(F.col("user_id").isNotNull()).groupBy("user_id")
-        .agg(F.bit_or(bit).alias("days"))
+    if run < 1 or span < 1:
+        raise ValueError("run and span are numbers of days, 1 at least")
+    known = in_days(orders, window_start(day, span), day).where(F.col("user_id").isNotNull())
+    days = known.select("user_id", day_number("dt").alias("d")).distinct().groupBy("user_id").agg(
+        F.array_sort(F.collect_list("d")).alias("days")
+    )
+    places = F.sequence(F.lit(1), F.size("days") - F.lit(run - 1))
+    in_a_row = F.exists(
+        places, lambda i: F.element_at("days", i + F.lit(run - 1)) - F.element_at("days", i) == F.lit(run - 1)
     )
-    in_a_row = F.col("days")
-    for step in range(1, run):
-        in_a_row = in_a_row.bitwiseAND(F.shiftright("days", step))
-    counts = masks.agg(F.count(F.when(in_a_row != 0, 1)).alias("order_continuously_user_count"))
+    long_enough = F.when(F.size("days") >= run, in_a_row)
+    counts = days.agg(F.count(F.when(long_enough, 1)).alias("order_continuously_user_count"))
     return counts.select(
         F.lit(day).alias("dt"), F.lit(span).cast("bigint").alias("recent_days"), "order_continuously_user_count"
     )

@@ -9,6 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from martline.functions import changefeed
 from martline.functions.dates import shift, window_start
@@ -131,8 +132,12 @@ def _(t: Standins) -> DataFrame:
     ))
     topic = stream.select(body.alias("value"))
     landing.land_change_stream(topic, path, checkpoint, zone="UTC", once=True).awaitTermination()
-    feed = files.read_change_feed(t.spark, path, schemas.FEED_DATA["cart_info"], None, table="cart_info")
-    return feed.select("type", "ts", "data.id", "data.user_id", "dt")
+    feeds = [
+        files.read_change_feed(t.spark, path, schemas.FEED_DATA[name], None, table=name)
+        .select(F.lit(name).alias("feed"), "type", "ts", "data.id", "dt")
+        for name in ("cart_info", "user_info")
+    ]
+    return feeds[0].unionByName(feeds[1])
 
 
 @_query("s7_tail_files_stream")
@@ -225,8 +230,37 @@ def _(t: Standins) -> DataFrame:
 def _(t: Standins) -> DataFrame:
     path = new_folder(t.spark)
     sinks.tsv_table(t.events().select("event_id", "user_id", "event_type", F.nullif("k", F.lit(0)).alias("k")), path)
-    schema = "event_id bigint, user_id bigint, event_type string, k bigint"
-    return t.spark.read.schema(schema).options(sep="\t", quote="", nullValue="\\N").csv(path)
+    schema = T.StructType.fromDDL("event_id bigint, user_id bigint, event_type string, k bigint")
+    return sinks.read_tsv_table(t.spark, path, schema)
+
+
+def _odd_text(t: Standins) -> DataFrame:
+    """Events with a text that a table of lines must not change: padded, with tabs, line ends and backslashes, empty, NULL."""
+    kind, odd = F.col("event_type"), F.col("k") % 8
+    texts = [
+        F.concat(F.lit("  "), kind, F.lit(" ")), F.concat(kind, F.lit("\t"), kind), F.concat(kind, F.lit("\n"), kind),
+        F.concat(F.lit("\\"), kind, F.lit("\\t\\\\")), F.lit(""), F.lit("\\N"), F.concat(F.lit("\r\n\t\\"), kind),
+    ]
+    value = F.lit(None).cast("string")
+    for k, text in enumerate(texts):
+        value = F.when(odd == k, text).otherwise(value)
+    return t.events().select("event_id", value.alias("text"), "event_type")
+
+
+@_query("k6_tsv_table_texts")
+def _(t: Standins) -> DataFrame:
+    path = new_folder(t.spark)
+    rows = _odd_text(t)
+    sinks.tsv_table(rows, path)
+    return sinks.read_tsv_table(t.spark, path, rows.schema)
+
+
+@_query("s2_read_snapshot_tsv_texts")
+def _(t: Standins) -> DataFrame:
+    path = new_folder(t.spark)
+    rows = _odd_text(t)
+    files.write_snapshot_tsv(rows, path, ED)
+    return files.read_snapshot_tsv(t.spark, path, rows.schema, ED)
 
 
 @_query("k7_check_partition")
@@ -384,8 +418,10 @@ def _(t: Standins) -> DataFrame:
     return facts.fact_cart_snapshot(t.carts(), OD)
 
 
-def _flow(t: Standins) -> DataFrame:
+def _flow(t: Standins, deliveries: int = 1) -> DataFrame:
     headers = t.order_feeds(changefeed.INSERT, OD, OD)[1]
+    for _again in range(deliveries - 1):
+        headers = headers.unionByName(headers)
     payments = t.payment_feed(changefeed.UPDATE, shift(OD, -2), OD)
     finished = t.status_feed(first=shift(OD, -5), last=shift(OD, -5))
     return facts.fact_trade_flow(t.flow_open(OD), headers, payments, finished, OD)
@@ -396,6 +432,11 @@ def _(t: Standins) -> DataFrame:
     return _flow(t)
 
 
+@_query("f5_fact_trade_flow_repeated_inserts")
+def _(t: Standins) -> DataFrame:
+    return _flow(t, deliveries=2)
+
+
 @_query("f5_fact_trade_flow_first_day")
 def _(t: Standins) -> DataFrame:
     kind = changefeed.BOOTSTRAP
@@ -665,6 +706,11 @@ def _(t: Standins) -> DataFrame:
     return reports.order_continuously_user_count(rollups.user_order_1d(t.event_orders(), None), ED)
 
 
+@_query("p8_order_continuously_user_count_span_90")
+def _(t: Standins) -> DataFrame:
+    return reports.order_continuously_user_count(rollups.user_order_1d(t.event_orders(), None), ED, run=4, span=90)
+
+
 @_query("p9_repeat_purchase_by_tm")
 def _(t: Standins) -> DataFrame:
     return reports.repeat_purchase_by_tm(rollups.user_sku_order_nd(_user_sku_1d(t), OD), OD)

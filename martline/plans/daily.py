@@ -6,7 +6,7 @@ day can be run again with the same result.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -62,12 +62,44 @@ class Warehouse:
 
 
 def run_day(w: Warehouse, landed: str, day: str, first_day: bool = False) -> None:
-    """All layers of one day; ``first_day`` loads the bootstrap copy and spreads it over its own days."""
+    """All layers of one day; ``first_day`` loads the bootstrap copy and spreads it over its own days.
+
+    Each layer is checked before the next one is built on it; a failed check ends the run with its reason.
+    """
     load_raw(w, landed, day)
     build_dimensions(w, day, first_day)
+    check_dimensions(w, day)
     build_facts(w, day, first_day)
+    check_facts(w, day)
     build_summaries(w, day, first_day)
     build_reports(w, day)
+    check_reports(w, day)
+
+
+def check_dimensions(w: Warehouse, day: str) -> None:
+    """Users have one open version each, and no version begins before the last one ended."""
+    users = sinks.read_version(w.spark, w.path("dim_user_zip"), day, USER_ZIP)
+    sinks.check_none(sinks.repeated_keys(scd2.scd2_current(users), "id"), f"users with several open versions on {day}")
+    sinks.check_none(sinks.overlapping_versions(users, "id"), f"overlapping versions of a user on {day}")
+
+
+def check_facts(w: Warehouse, day: str) -> None:
+    """An order is open once."""
+    flow = sinks.read_version(w.spark, w.path("dwd_trade_trade_flow_acc"), day, TRADE_FLOW)
+    open_rows = flow.where(F.col("dt") == F.lit(OPEN_END)).where(F.col("order_id").isNotNull())
+    sinks.check_none(sinks.repeated_keys(open_rows, "order_id"), f"orders open several times on {day}")
+
+
+def check_reports(w: Warehouse, day: str) -> None:
+    """Of a day's new users no more come back than there were."""
+    kept = w.read("ads_user_retention").where(F.col("dt") == F.lit(day))
+    sinks.check_none(kept.where(F.col("retention_count") > F.col("new_user_count")), f"more users retained than new on {day}")
+
+
+def check_landed(w: Warehouse, landed: str) -> None:
+    """Landed rows without a readable time are in no day. For the operator to run; it reads all landed days."""
+    rows = w.spark.read.schema("value string, dt string").text(f"{landed.rstrip('/')}/log")
+    sinks.check_none(sinks.unreadable_rows(rows), "log rows without a readable time")
 
 
 def import_full(
@@ -78,15 +110,20 @@ def import_full(
     properties: dict[str, str] | None = None,
     read: Callable[..., DataFrame] = jdbc.import_jdbc_full,
     bounds: Callable[..., tuple[int, int]] = jdbc.key_bounds,
+    max_connections: int = 32,
+    ids_per_connection: int = 1_000_000,
 ) -> None:
     """The 17 full table copies from the source database into landed files of ``day``.
 
-    The tables that grow with products and users are read in parallel ranges of their key.
+    The tables that grow with products and users are read in parallel ranges of their key: a connection for each
+    ``ids_per_connection`` ids, ``max_connections`` at most.
     """
     for name, schema in schemas.SNAPSHOTS.items():
         ranges = {}
         if name in GROWING_TABLES:
-            ranges = {"partition_column": "id", "bounds": bounds(spark, url, name, "id", properties)}
+            low, high = bounds(spark, url, name, "id", properties)
+            connections = min(max_connections, 1 + (high - low) // ids_per_connection)
+            ranges = {"partition_column": "id", "bounds": (low, high), "partitions": connections}
         rows = read(spark, url, table=name, columns=schema.fieldNames(), properties=properties, **ranges)
         typed = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
         files.write_snapshot_tsv(typed, f"{landed.rstrip('/')}/full/{name}_full", day)
@@ -124,7 +161,7 @@ def build_dimensions(w: Warehouse, day: str, first_day: bool = False) -> None:
     else:
         open_rows = scd2.scd2_current(sinks.read_version(w.spark, path, shift(day, -1), USER_ZIP))
         rows = scd2.scd2_merged(open_rows, scd2.scd2_changes(users, day), day)
-    sinks.write_version(rows, path, day)
+    sinks.write_version(rows, path, day, spread=first_day)
 
 
 def build_facts(w: Warehouse, day: str, first_day: bool = False) -> None:
@@ -151,7 +188,7 @@ def build_facts(w: Warehouse, day: str, first_day: bool = False) -> None:
         before = sinks.read_version(w.spark, path, shift(day, -1), TRADE_FLOW)
         before = before.where(F.col("dt") == F.lit(OPEN_END))
     flow = facts.fact_trade_flow(before, feed("order_info"), payments, feed("order_status_log"), day, first_day)
-    sinks.write_version(flow, path, day)
+    sinks.write_version(flow, path, day, spread=first_day)
 
 
 def build_summaries(w: Warehouse, day: str, first_day: bool = False) -> None:
@@ -186,6 +223,9 @@ def build_summaries(w: Warehouse, day: str, first_day: bool = False) -> None:
         order_td = rollups.user_order_td_init(orders, day)
         login_td = rollups.user_login_td_init(read("dwd_user_register_inc"), logins, day)
     else:
+        # Without the day before, the totals would silently start again from today.
+        for table in ("dws_trade_user_order_td", "dws_user_user_login_td"):
+            sinks.check_partition(w.spark, w.path(table), shift(day, -1))
         order_td = rollups.user_order_td(read("dws_trade_user_order_td"), orders, day)
         login_td = rollups.user_login_td(read("dws_user_user_login_td"), logins, day)
     w.put("dws_trade_user_order_td", order_td, day)
@@ -241,12 +281,20 @@ def run_month(w: Warehouse, day: str) -> None:
     w.put("ads_traffic_stats_monthly", reports.monthly_traffic(sessions, day), day)
 
 
-def export_reports(w: Warehouse, day: str, url: str, upsert: bool = False, **options) -> None:
-    """The day's reports into a database, one table each."""
-    for table in schemas.REPORT_KEYS:
+def export_reports(
+    w: Warehouse, day: str, url: str, upsert: bool = False, tables: Sequence[str] = tuple(schemas.REPORT_KEYS), **options
+) -> None:
+    """The day's reports into a database, one table each.
+
+    After :func:`run_week` or :func:`run_month` give the table they wrote as ``tables``.
+    """
+    for table in tables:
         jdbc.export_upsert(w.read(table), url, table, day, upsert, **options)
 
 
+WEEKLY, MONTHLY = ("ads_traffic_stats_weekly",), ("ads_traffic_stats_monthly",)
+
+
 def load_calendar_once(w: Warehouse, landed: str) -> None:
     calendar = files.load_calendar(w.spark, f"{landed.rstrip('/')}/calendar")
     sinks.columnar_table(dims.dim_date(calendar), w.path("dim_date"))

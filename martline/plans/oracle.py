@@ -134,9 +134,10 @@ _oracle("s3_read_change_feed", "cart_feed", f"""
 _oracle("s5_land_log_stream", "ev", f"""
     select strftime(ts + interval 8 hour, '%Y-%m-%d') as dt, ms as ts, usr as mid_id, event_type as page_id from ev""")
 _oracle("s6_land_change_stream", "ev", f"""
-    select case event_type when 'click' then 'insert' else 'update' end as type, ms // 1000 as ts,
-        {_v('event_id')} as id, usr as user_id, day as dt
-    from ev where event_type in ('click', 'view')""")
+    select case when event_type in ('click', 'view') then 'cart_info' else 'user_info' end as feed,
+        case event_type when 'click' then 'insert' else 'update' end as type, ms // 1000 as ts,
+        {_v('event_id')} as id, day as dt
+    from ev""")
 _oracle("s9_bootstrap_vs_incremental", "ev", """
     select 'bootstrap-insert' as type, '2023-12-31' as dt, count(*) as row_count
     from ev where event_type in ('click', 'error')
@@ -167,6 +168,14 @@ _oracle("k3_accumulate_report", "ev", f"""
 _oracle("k3_accumulate_distinct", "ev", _COUNTS.format(1, ""))
 _oracle("k5_columnar_table", "ev", "select event_id, user_id, event_type, k, day from ev")
 _oracle("k6_tsv_table", "ev", "select event_id, user_id, event_type, nullif(k, 0) as k from ev")
+_ODD_TEXT = """
+    select event_id, case k % 8 when 0 then '  ' || event_type || ' ' when 1 then event_type || chr(9) || event_type
+        when 2 then event_type || chr(10) || event_type when 3 then '\\' || event_type || '\\t\\\\' when 4 then ''
+        when 5 then '\\N' when 6 then chr(13) || chr(10) || chr(9) || '\\' || event_type end as text, event_type
+    from ev"""
+_oracle("k6_tsv_table_texts", "ev", _ODD_TEXT)
+_oracle("s2_read_snapshot_tsv_texts", "ev", f"""
+    select event_id, nullif(text, '') as text, event_type, {ED} as dt from ({_ODD_TEXT})""")
 _oracle("k7_check_partition", "ev", "select day as dt, count(distinct event_type) as row_count from ev group by 1")
 
 # Dimensions
@@ -318,6 +327,7 @@ def _flow(daily: bool) -> str:
 
 
 _oracle("f5_fact_trade_flow", "", _flow(True))
+_oracle("f5_fact_trade_flow_repeated_inserts", "", _flow(True))
 _oracle("f5_fact_trade_flow_first_day", "", _flow(False))
 _USED = f"""
     select {_LINE} as id, {_COUPON} as coupon_id, {_v('o_custkey')} as user_id, {_v('l_orderkey')} as order_id,
@@ -546,6 +556,13 @@ _oracle("p8_order_continuously_user_count", "ev", f"""
         from (select distinct user_id, day from ev
               where event_type = 'purchase' and day >= {_back(EVENT_DAY, 6)})
     ) where cast(day as date) - cast(third as date) = 2""")
+_oracle("p8_order_continuously_user_count_span_90", "ev", f"""
+    select {ED} as dt, cast(90 as bigint) as recent_days, count(distinct user_id) as order_continuously_user_count
+    from (
+        select user_id, day, lead(day, 3) over (partition by user_id order by day desc) as fourth
+        from (select distinct user_id, day from ev
+              where event_type = 'purchase' and day >= {_back(EVENT_DAY, 89)})
+    ) where cast(day as date) - cast(fourth as date) = 3""")
 _oracle("p9_repeat_purchase_by_tm", "detail sku", f"""
     select {OD} as dt, cast(30 as bigint) as recent_days, tm_id, tm_name,
         {_m('(200 * count(*) filter (n >= 2) + count(*)) // (2 * count(*)) * cast(0.01 as decimal(3,2))')}

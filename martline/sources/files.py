@@ -63,21 +63,56 @@ def _as_declared(column: Column, dtype: T.DataType) -> Column:
 
 def read_snapshot_tsv(spark: SparkSession, path: str, schema: T.StructType, day: str) -> DataFrame:
     """Full copy of a table: tab separated, no header, no quoting, empty text is NULL."""
-    return _tsv(spark, day_path(path, day), schema).withColumn("dt", F.lit(day))
+    return read_tsv(spark, day_path(path, day), schema).withColumn("dt", F.lit(day))
 
 
-def write_snapshot_tsv(df: DataFrame, path: str, day: str) -> None:
-    """The landed form that :func:`read_snapshot_tsv` reads."""
-    (
-        df.drop("dt")
-        .write.mode("overwrite")
-        .options(sep="\t", nullValue="", emptyValue="", quote="", escapeQuotes=False, compression="gzip")
-        .csv(day_path(path, day))
-    )
+def write_snapshot_tsv(df: DataFrame, path: str, day: str, compression: str = "none") -> None:
+    """The landed form that :func:`read_snapshot_tsv` reads. Files that are not compressed can be split when read."""
+    write_tsv(df.drop("dt"), day_path(path, day), compression=compression)
 
 
 def load_calendar(spark: SparkSession, path: str) -> DataFrame:
-    return _tsv(spark, path, schemas.CALENDAR)
+    return read_tsv(spark, path, schemas.CALENDAR)
+
+
+def write_tsv(df: DataFrame, path: str, null: str = "", compression: str = "none") -> None:
+    """Tab separated lines, every row one line: backslash, tab and line ends inside a text are escaped, blanks stay."""
+    fields = [F.coalesce(_escaped(F.col(f"`{c}`").cast("string")), F.lit(null)) for c in df.columns]
+    lines = df.select(F.concat_ws("\t", *fields).alias("value"))
+    lines.write.mode("overwrite").options(lineSep="\n", compression=compression).text(path)
+
+
+def read_tsv(spark: SparkSession, path: str, schema: T.StructType, null: str = "") -> DataFrame:
+    """What :func:`write_tsv` wrote. Missing fields and values that are not of the declared type are NULL."""
+    lines = spark.read.option("lineSep", "\n").text(path).select(F.split("value", "\t", -1).alias("fields"))
+    columns = []
+    for k, field in enumerate(schema):
+        raw = F.get("fields", F.lit(k))
+        text = F.when(raw != F.lit(null), F.when(raw.contains("\\"), _unescaped(raw)).otherwise(raw))
+        columns.append((text if isinstance(field.dataType, T.StringType) else text.try_cast(field.dataType)).alias(field.name))
+    return lines.select(*columns)
+
+
+# The escapes of the text form.
+_ESCAPES = {"\t": "\\t", "\n": "\\n", "\r": "\\r"}
+
+
+def _escaped(text: Column) -> Column:
+    text = F.replace(text, F.lit("\\"), F.lit("\\\\"))
+    for plain, written in _ESCAPES.items():
+        text = F.replace(text, F.lit(plain), F.lit(written))
+    return text
+
+
+def _unescaped(text: Column) -> Column:
+    """Between pairs of backslashes, a single one can only begin an escape."""
+
+    def part(piece: Column) -> Column:
+        for plain, written in _ESCAPES.items():
+            piece = F.replace(piece, F.lit(written), F.lit(plain))
+        return piece
+
+    return F.array_join(F.transform(F.split(text, r"\\\\", -1), part), "\\")
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
@@ -86,7 +121,3 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
         return spark.read.schema(schema).orc(path)
     df = spark.read.orc(path)
     return df.withColumn("dt", F.col("dt").cast("string")) if "dt" in df.columns else df
-
-
-def _tsv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return spark.read.schema(schema).options(sep="\t", nullValue="", quote="", mode="PERMISSIVE").csv(path)

@@ -84,14 +84,15 @@ def export_upsert(
     properties: dict[str, str] | None = None,
     run: Callable[[SparkSession, str, Sequence[str], dict[str, str]], None] | None = None,
     stage: Callable[[DataFrame, str, str, dict[str, str]], None] | None = None,
+    connections: int = 8,
 ) -> None:
     """One day of a report into a database through a staging table, so that a failed write leaves the day as it was.
 
-    Reports are small after aggregation; eight connections bound the load on the database.
+    Reports are small after aggregation; at most ``connections`` write at once.
     """
     properties = properties or {}
     staging = f"{table}_staging"
-    rows = df.where(F.col("dt") == F.lit(day)).coalesce(8)
+    rows = df.where(F.col("dt") == F.lit(day)).coalesce(connections)
     (stage or _stage)(rows, url, staging, properties)
     (run or run_in_transaction)(
         df.sparkSession, url, export_statements(table, staging, df.columns, day, upsert), properties

@@ -2,11 +2,17 @@
 
 A topic is any streaming DataFrame with a string column ``value`` holding one JSON document, as a Kafka source cast to
 string gives. Rows go to the day of the time written inside them, not of their arrival, so an event produced just
-before midnight lands in its own day. A row without a readable time lands in the default partition and is not lost.
+before midnight lands in its own day. A row without a readable time lands in the default partition: no day reads it, and
+:func:`martline.operators.sinks.unreadable_rows` counts it.
+
+Each batch brings the rows of a folder together, so it writes at most ``splits`` files per folder. A day that is over is
+compacted into a folder of its own, which later readers use: they need not load the stream's file log.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,13 +24,19 @@ from martline.functions.columns import local_day
 TOPIC_LOG, TOPIC_DB = "topic_log", "topic_db"
 ZONE = "GMT+8"
 BATCH_INTERVAL = "10 seconds"
+#: Files that one batch writes into one folder, at most.
+SPLITS = 4
 
 _LOG_HEAD = T.StructType().add("ts", T.LongType())
 _CHANGE_HEAD = T.StructType().add("table", T.StringType()).add("ts", T.LongType())
 
 
 def tail_files_stream(spark: SparkSession, path: str, pattern: str = "*", files_per_batch: int = 1000) -> DataFrame:
-    """Lines of the files that appear in a directory; finished files are remembered in the query's checkpoint."""
+    """Lines of the files that appear in a directory; finished files are remembered in the query's checkpoint.
+
+    A file is read once, so it must be complete when it appears: write it elsewhere and rename it into place, or under
+    a name that ``pattern`` leaves out. Lines added to a file after that are not read.
+    """
     return (
         spark.readStream.option("pathGlobFilter", pattern)
         .option("maxFilesPerTrigger", files_per_batch)
@@ -47,21 +59,45 @@ def change_days(stream: DataFrame, zone: str = ZONE, ts_in_seconds: bool = True)
 
 
 def land_log_stream(
-    stream: DataFrame, path: str, checkpoint: str, zone: str = ZONE, once: bool = False
+    stream: DataFrame, path: str, checkpoint: str, zone: str = ZONE, once: bool = False,
+    interval: str = BATCH_INTERVAL, splits: int = SPLITS,
 ) -> StreamingQuery:
-    return _land(log_days(stream, zone), ["dt"], path, checkpoint, once)
+    return _land(log_days(stream, zone), ["dt"], path, checkpoint, once, interval, splits)
 
 
 def land_change_stream(
-    stream: DataFrame, path: str, checkpoint: str, zone: str = ZONE, ts_in_seconds: bool = True, once: bool = False
+    stream: DataFrame, path: str, checkpoint: str, zone: str = ZONE, ts_in_seconds: bool = True, once: bool = False,
+    interval: str = BATCH_INTERVAL, splits: int = SPLITS,
 ) -> StreamingQuery:
-    return _land(change_days(stream, zone, ts_in_seconds), ["table", "dt"], path, checkpoint, once)
+    rows = change_days(stream, zone, ts_in_seconds)
+    return _land(rows, ["table", "dt"], path, checkpoint, once, interval, splits)
+
+
+def compact_day(
+    spark: SparkSession, landed: str, closed: str, day: str, folders: Sequence[str] = ("dt",),
+    max_records: int = 5_000_000,
+) -> None:
+    """The landed rows of ``day`` as few files under ``closed``, in the same folders; running it again replaces them.
+
+    ``folders`` are those of the landing: ``("dt",)`` for the log, ``("table", "dt")`` for changes. The rebalance splits a
+    folder by its bytes; ``max_records`` bounds a file's rows besides. The landed files stay.
+    """
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in ("value", *folders)])
+    rows = spark.read.schema(schema).text(landed).where(F.col("dt") == F.lit(day))
+    (
+        rows.hint("rebalance", *folders).write.mode("overwrite")
+        .options(partitionOverwriteMode="dynamic", compression="gzip", maxRecordsPerFile=max_records)
+        .partitionBy(*folders).text(closed)
+    )
 
 
-def _land(rows: DataFrame, folders: list[str], path: str, checkpoint: str, once: bool) -> StreamingQuery:
-    trigger = {"availableNow": True} if once else {"processingTime": BATCH_INTERVAL}
+def _land(
+    rows: DataFrame, folders: list[str], path: str, checkpoint: str, once: bool, interval: str, splits: int
+) -> StreamingQuery:
+    trigger = {"availableNow": True} if once else {"processingTime": interval}
+    part = F.pmod(F.xxhash64("value"), F.lit(splits))
     return (
-        rows.writeStream.format("text")
+        rows.repartition(*folders, part).writeStream.format("text")
         .option("path", path)
         .option("checkpointLocation", checkpoint)
         .option("compression", "gzip")

@@ -192,3 +192,21 @@ def test_week_month_and_export(built, rows):
         run=lambda _s, _u, statements, _p: ran.extend(statements),
     )
     assert staged == [f"{t}_staging" for t in schemas.REPORT_KEYS] and len(ran) == 32
+
+
+def test_totals_need_the_day_before(built):
+    w = built[0] if isinstance(built, tuple) else built
+    with pytest.raises(sinks.EmptyPartition, match="dws_trade_user_order_td"):
+        daily.build_summaries(w, shift(THIRD, 5))
+
+
+def test_checks_stop_the_run(spark, tmp_path):
+    w = Warehouse(spark, str(tmp_path / "w"))
+    row = {f.name: None for f in USER_ZIP} | {"id": "7", "start_date": FIRST, "end_date": OPEN_END, "dt": OPEN_END}
+    sinks.write_version(spark.createDataFrame([tuple(row.values())] * 2, USER_ZIP), w.path("dim_user_zip"), FIRST)
+    with pytest.raises(sinks.FailedCheck, match="several open versions"):
+        daily.check_dimensions(w, FIRST)
+    order = {f.name: None for f in TRADE_FLOW} | {"order_id": "1", "dt": OPEN_END}
+    sinks.write_version(spark.createDataFrame([tuple(order.values())] * 2, TRADE_FLOW), w.path("dwd_trade_trade_flow_acc"), FIRST)
+    with pytest.raises(sinks.FailedCheck, match="open several times"):
+        daily.check_facts(w, FIRST)

@@ -58,6 +58,15 @@ def test_consecutive_days(spark, rows):
     assert rows(reports.order_continuously_user_count(orders, DAY, run=2)) == [(DAY, 7, 5)]
 
 
+def test_days_in_a_row_over_any_span(spark, rows):
+    days = {"one": [0], "far": [0, 66, 90], "run": [70, 71, 72], "early": [88, 89], "twice": [64, 64, 65, 66]}
+    df = spark.createDataFrame([(u, shift(DAY, -d)) for u, ds in days.items() for d in ds] + [(None, DAY)], "user_id string, dt string")
+    assert rows(reports.order_continuously_user_count(df, DAY, span=64)) == [(DAY, 64, 0)]
+    assert rows(reports.order_continuously_user_count(df, DAY, span=90)) == [(DAY, 90, 2)]
+    assert rows(reports.order_continuously_user_count(df, DAY, run=2, span=90)) == [(DAY, 90, 3)]
+    assert rows(reports.order_continuously_user_count(df, DAY, run=1, span=1)) == [(DAY, 1, 2)]
+
+
 def test_top_ranked_keeps_ties_and_missing_groups(spark, rows):
     random.seed(5)
     items = [(random.choice(["a", "b", None]), random.choice([1, 1, 2, 3, None]), i) for i in range(400)]

@@ -5,8 +5,12 @@ import json
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from martline.functions.dates import OPEN_END
 from martline.operators import sinks
+from martline.plans import scratch
 from martline.sources import files, jdbc, schemas
 
 DAY = "2022-06-08"
@@ -101,10 +105,10 @@ def test_import_copies_every_table_and_splits_the_growing_ones(spark, tmp_path,
         values = ", ".join(f"'{7 if c != 'sku_name' else 'a name'}' as {c}" for c in columns)
         return session.sql(f"select {values}")
 
-    daily.import_full(spark, "jdbc:x", str(tmp_path), DAY, read=read, bounds=lambda *_: (1, 9))
+    daily.import_full(spark, "jdbc:x", str(tmp_path), DAY, read=read, bounds=lambda *_: (1, 2_500_000))
     assert set(asked) == set(schemas.SNAPSHOTS)
     assert {t for t, r in asked.items() if r} == set(daily.GROWING_TABLES)
-    assert asked["sku_info"] == {"partition_column": "id", "bounds": (1, 9)}
+    assert asked["sku_info"] == {"partition_column": "id", "bounds": (1, 2_500_000), "partitions": 3}
     back = files.read_snapshot_tsv(spark, str(tmp_path / "full" / "sku_info_full"), schemas.SNAPSHOTS["sku_info"], DAY)
     assert rows(back, "id", "price", "sku_name") == [("7", Decimal("7.00"), "a name")]
 
@@ -130,3 +134,54 @@ def test_export_stages_the_day_then_replaces_it(spark):
 def test_every_report_has_a_key_and_every_source_a_schema():
     assert len(schemas.REPORT_KEYS) == 16
     assert (len(schemas.FEED_DATA), len(schemas.SNAPSHOTS)) == (13, 17)
+
+
+@pytest.mark.parametrize("null", ["", "\\N"])
+def test_tsv_gives_back_every_text(spark, tmp_path, null):
+    texts = ["  padded  ", "a\tb", "a\nb", "a\r\nb\r", "\\", "\\\\t", "\\\t\\", "\\N", "tab\\t", '"quoted" , x', "", None, "é\u2028"]
+    rows = [(k, text, k / 2) for k, text in enumerate(texts)]
+    df = spark.createDataFrame(rows, "id long, text string, value double")
+    files.write_tsv(df, str(tmp_path / "t"), null=null)
+    got = sorted(tuple(r) for r in files.read_tsv(spark, str(tmp_path / "t"), df.schema, null=null).collect())
+    assert got == [(k, text if text or null else None, v) for k, text, v in rows]
+
+
+def test_old_open_rows_can_be_pruned(spark, tmp_path):
+    path = str(tmp_path / "zip")
+    schema = T.StructType.fromDDL("id string, dt string")
+    days = [f"2024-01-0{n}" for n in range(1, 6)]
+    for n, day in enumerate(days):
+        rows = [("open", OPEN_END)] + [(f"closed{n}", day)]
+        sinks.write_version(spark.createDataFrame(rows, schema), path, day)
+    before = {d: sorted(map(tuple, sinks.read_history(spark, path, d, schema).collect())) for d in days[2:]}
+    assert sinks.prune_versions(spark, path, days[-1], keep_days=2) == days[:2]
+    assert sinks.prune_versions(spark, path, days[-1], keep_days=2) == []
+    assert {d: sorted(map(tuple, sinks.read_history(spark, path, d, schema).collect())) for d in days[2:]} == before
+    assert sinks.read_version(spark, path, days[0], schema).where(F.col("dt") == OPEN_END).isEmpty()
+
+
+def test_first_load_writes_a_file_per_day(spark, tmp_path):
+    rows = spark.range(400, numPartitions=8).select(F.col("id").cast("string"), F.format_string("2024-02-%02d", F.col("id") % 20 + 1).alias("dt"))
+    sinks.write_version(rows, str(tmp_path / "t"), "2024-03-01", spread=True)
+    assert len(list((tmp_path / "t").rglob("*.orc"))) == 20
+
+
+def test_named_checks_fail_with_the_row(spark):
+    users = spark.createDataFrame([("1", "2024-01-01", "2024-01-05"), ("1", "2024-01-05", OPEN_END), ("2", "2024-01-01", "2024-01-04"), ("2", "2024-01-05", OPEN_END)], "id string, start_date string, end_date string")
+    sinks.check_none(sinks.repeated_keys(users, "id", "start_date"), "keys")
+    with pytest.raises(sinks.FailedCheck, match="overlap.*'id': '1'"):
+        sinks.check_none(sinks.overlapping_versions(users, "id"), "overlap")
+    assert [r["id"] for r in sinks.overlapping_versions(users, "id").collect()] == ["1"]
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster(spark):
+    class Conf(dict):
+        pass
+
+    class Session:
+        conf = Conf({"spark.master": "spark://host:7077"})
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch.new_folder(Session)
+    Session.conf["spark.checkpoint.dir"] = "hdfs://x/y"
+    assert scratch.new_folder(Session).startswith("hdfs://x/y/")

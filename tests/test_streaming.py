@@ -2,6 +2,9 @@ from __future__ import annotations
 
 import json
 
+import pytest
+
+from martline.operators import sinks
 from martline.sources import files, schemas
 from martline.streaming import landing
 
@@ -41,3 +44,21 @@ def test_changes_are_routed_by_table_and_day(spark, tmp_path, rows):
     for table, expected in (("cart_info", ("1", "2022-06-08")), ("favor_info", ("2", "2022-06-09"))):
         feed = files.read_change_feed(spark, out, schemas.FEED_DATA[table], None, table=table)
         assert rows(feed, "data.id", "dt") == [expected]
+
+
+def test_a_batch_writes_few_files_and_a_closed_day_is_compacted(spark, tmp_path, rows):
+    source, out, closed = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "closed")
+    for k in range(12):
+        put(source, f"{k}.log", [{"ts": NIGHT + (k % 2) * 86_400_000 - i, "common": {"mid": f"m{k}-{i}"}} for i in range(1, 9)] + ["broken"])
+    lines = landing.tail_files_stream(spark, str(source))
+    landing.land_log_stream(lines, out, str(tmp_path / "ck"), once=True, splits=2).awaitTermination()
+    files_written = list((tmp_path / "out").rglob("*.txt.gz"))
+    assert len(files_written) <= 3 * 2  # two days and the rows without one
+    landed = spark.read.schema("value string, dt string").text(out)
+    assert sinks.unreadable_rows(landed).count() == 12
+    with pytest.raises(sinks.FailedCheck, match="unreadable"):
+        sinks.check_none(sinks.unreadable_rows(landed), "unreadable")
+    for _again in range(2):
+        landing.compact_day(spark, out, closed, "2022-06-08")
+    assert rows(files.read_log_json(spark, closed, None), "common.mid") == rows(files.read_log_json(spark, out, "2022-06-08"), "common.mid")
+    assert len(list((tmp_path / "closed").rglob("*.gz"))) == 1 and not (tmp_path / "closed" / "_spark_metadata").exists()
