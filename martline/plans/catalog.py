@@ -327,20 +327,21 @@ def _(t: Standins) -> DataFrame:
 
 
 def _user_changes(t: Standins, day: str) -> DataFrame:
-    return scd2.scd2_changes(t.user_feed(day), day, ["id", "name", "user_level"])
+    return scd2.scd2_changes(t.user_feed(), day, ["id", "name", "user_level"])
 
 
 def _zipper(t: Standins) -> DataFrame:
-    """Two days of changes merged one after the other; the last open rows and all closed ones."""
-    open_rows, first = scd2.scd2_merge(t.user_open(), _user_changes(t, shift(ED, -1)), shift(ED, -1))
-    open_rows, second = scd2.scd2_merge(open_rows, _user_changes(t, ED), ED)
-    return open_rows.unionByName(first).unionByName(second)
+    """Two days of changes merged and stored one after the other, as daily runs do, and the history after them."""
+    path, open_rows = new_folder(t.spark), t.user_open()
+    for day in (shift(ED, -1), ED):
+        sinks.write_version(scd2.scd2_merged(open_rows, _user_changes(t, day), day), path, day)
+        open_rows = scd2.scd2_current(sinks.read_version(t.spark, path, day, t.user_open().schema))
+    return sinks.read_history(t.spark, path, ED, t.user_open().schema)
 
 
 @_query("d8a_scd2_init")
 def _(t: Standins) -> DataFrame:
-    boot = t.user_feed(ED).withColumn("type", F.lit(changefeed.BOOTSTRAP))
-    return scd2.scd2_init(boot, ED, ["id", "name", "user_level"])
+    return scd2.scd2_init(t.user_boot(), ED, ["id", "name", "user_level"])
 
 
 @_query("d8b_scd2_merge")
@@ -378,7 +379,7 @@ def _(t: Standins) -> DataFrame:
 
 @_query("f1_fact_cart_add")
 def _(t: Standins) -> DataFrame:
-    return facts.fact_cart_add(t.cart_feed(ED), ED)
+    return facts.fact_cart_add(t.cart_feed(), ED)
 
 
 @_query("f1_fact_cart_add_first_day")
@@ -389,7 +390,7 @@ def _(t: Standins) -> DataFrame:
 
 @_query("f2_fact_order_detail")
 def _(t: Standins) -> DataFrame:
-    return facts.fact_order_detail(*t.order_feeds(changefeed.INSERT, OD, OD), OD)
+    return facts.fact_order_detail(*t.order_feeds(changefeed.INSERT), OD)
 
 
 @_query("f2_fact_order_detail_first_day")
@@ -400,7 +401,7 @@ def _(t: Standins) -> DataFrame:
 @_query("f3_fact_payment_success")
 def _(t: Standins) -> DataFrame:
     return facts.fact_payment_success(
-        *t.order_feeds(changefeed.INSERT, shift(OD, -1), OD), t.payment_feed(changefeed.UPDATE, shift(OD, -2), OD),
+        *t.order_feeds(changefeed.INSERT, shift(OD, -1), OD), t.payment_feed(changefeed.UPDATE),
         t.dictionary(), OD,
     )
 
@@ -419,11 +420,11 @@ def _(t: Standins) -> DataFrame:
 
 
 def _flow(t: Standins, deliveries: int = 1) -> DataFrame:
-    headers = t.order_feeds(changefeed.INSERT, OD, OD)[1]
+    headers = t.order_feeds(changefeed.INSERT)[1]
     for _again in range(deliveries - 1):
         headers = headers.unionByName(headers)
-    payments = t.payment_feed(changefeed.UPDATE, shift(OD, -2), OD)
-    finished = t.status_feed(first=shift(OD, -5), last=shift(OD, -5))
+    payments = t.payment_feed(changefeed.UPDATE)
+    finished = t.status_feed()
     return facts.fact_trade_flow(t.flow_open(OD), headers, payments, finished, OD)
 
 
@@ -447,7 +448,7 @@ def _(t: Standins) -> DataFrame:
 
 @_query("f6_fact_coupon_used")
 def _(t: Standins) -> DataFrame:
-    return facts.fact_coupon_used(t.coupon_use_feed(changefeed.UPDATE, OD, OD), OD)
+    return facts.fact_coupon_used(t.coupon_use_feed(changefeed.UPDATE), OD)
 
 
 @_query("f6_fact_coupon_used_first_day")
@@ -457,7 +458,7 @@ def _(t: Standins) -> DataFrame:
 
 @_query("f7_fact_favor_add")
 def _(t: Standins) -> DataFrame:
-    return facts.fact_favor_add(t.favor_feed(ED), ED)
+    return facts.fact_favor_add(t.favor_feed(), ED)
 
 
 @_query("f8_fact_page_view")
@@ -468,12 +469,12 @@ def _(t: Standins) -> DataFrame:
 
 @_query("f9_fact_register")
 def _(t: Standins) -> DataFrame:
-    return facts.fact_register(t.register_feed(), t.log(ED), ED)
+    return facts.fact_register(t.register_feed(), t.log(), ED)
 
 
 @_query("f9_fact_register_dedup")
 def _(t: Standins) -> DataFrame:
-    return facts.fact_register(t.register_feed(), t.log(ED), ED, dedup=True)
+    return facts.fact_register(t.register_feed(), t.log(), ED, dedup=True)
 
 
 @_query("f10_fact_login")
@@ -522,7 +523,7 @@ def _month_of_lines(t: Standins, province: bool = False) -> DataFrame:
 
 @_query("a1_user_sku_order_1d")
 def _(t: Standins) -> DataFrame:
-    return rollups.user_sku_order_1d(t.order_detail(OD, OD), t.sku(), OD)
+    return rollups.user_sku_order_1d(t.order_detail(), t.sku(), OD)
 
 
 @_query("a1_user_sku_order_1d_first_day")
@@ -532,7 +533,7 @@ def _(t: Standins) -> DataFrame:
 
 @_query("a2_user_order_1d")
 def _(t: Standins) -> DataFrame:
-    return rollups.user_order_1d(t.order_detail(OD, OD), OD)
+    return rollups.user_order_1d(t.order_detail(), OD)
 
 
 @_query("a2_user_order_1d_first_day")
@@ -552,7 +553,7 @@ def _(t: Standins) -> DataFrame:
 
 @_query("a5_province_order_1d")
 def _(t: Standins) -> DataFrame:
-    return rollups.province_order_1d(t.order_detail(OD, OD, province=True), t.province(), OD)
+    return rollups.province_order_1d(t.order_detail(province=True), t.province(), OD)
 
 
 @_query("a5_province_order_1d_first_day")
@@ -602,7 +603,7 @@ def _user_order_td(t: Standins) -> DataFrame:
     before = rollups.user_order_td_init(
         rollups.user_order_1d(t.order_detail(last=shift(OD, -1)), None), shift(OD, -1)
     )
-    return rollups.user_order_td(before, rollups.user_order_1d(t.order_detail(OD, OD), OD), OD)
+    return rollups.user_order_td(before, rollups.user_order_1d(t.order_detail(), OD), OD)
 
 
 @_query("a12_user_order_td")
@@ -663,7 +664,7 @@ def _(t: Standins) -> DataFrame:
 
 @_query("p2_page_path")
 def _(t: Standins) -> DataFrame:
-    return reports.page_path(t.page_views(ED), ED)
+    return reports.page_path(t.page_views(), ED)
 
 
 @_query("p2_page_path_all_days")
@@ -690,9 +691,9 @@ def _(t: Standins) -> DataFrame:
 @_query("p6_user_action")
 def _(t: Standins) -> DataFrame:
     return reports.user_action(
-        rollups.visitor_page_view_1d(t.page_views(ED), ED), rollups.user_cart_add_1d(t.cart_adds(ED), ED),
-        rollups.user_order_1d(t.event_orders(ED), ED),
-        rollups.user_payment_1d(t.event_orders(ED).where(F.col("split_total_amount") >= 20), ED), ED,
+        rollups.visitor_page_view_1d(t.page_views(), ED), rollups.user_cart_add_1d(t.cart_adds(), ED),
+        rollups.user_order_1d(t.event_orders(), ED),
+        rollups.user_payment_1d(t.event_orders().where(F.col("split_total_amount") >= 20), ED), ED,
     )
 
 
@@ -739,7 +740,7 @@ def _(t: Standins) -> DataFrame:
 
 @_query("p13_coupon_stats")
 def _(t: Standins) -> DataFrame:
-    return reports.coupon_stats(rollups.user_coupon_used_1d(t.coupon_used(OD, OD), t.coupon(), OD), OD)
+    return reports.coupon_stats(rollups.user_coupon_used_1d(t.coupon_used(), t.coupon(), OD), OD)
 
 
 @_query("p14_cart_num_top3_by_cate")
@@ -749,7 +750,7 @@ def _(t: Standins) -> DataFrame:
 
 @_query("p15_favor_count_top3_by_tm")
 def _(t: Standins) -> DataFrame:
-    return reports.favor_count_top3_by_tm(rollups.sku_favor_add_1d(t.favors(ED), t.sku(ED), ED), ED)
+    return reports.favor_count_top3_by_tm(rollups.sku_favor_add_1d(t.favors(), t.sku(ED), ED), ED)
 
 
 @_query("p16_order_to_pay_interval_avg")

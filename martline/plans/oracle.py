@@ -68,9 +68,7 @@ _WITH = {
             case when event_type <> 'purchase' then {_v(_b('round(value * 1000)'))} end as during_time, day as dt
         from ev""",
     "logins": """
-        select usr as user_id, day as dt
-        from ev join customer on user_id = c_custkey
-        where event_type = 'purchase' and day >= strftime(date '2024-01-06' + c_nationkey, '%Y-%m-%d')""",
+        select concat_ws('-', usr, k % 8) as user_id, day as dt from ev where event_type = 'purchase'""",
     "cart_feed": f"""
         select case event_type when 'click' then 'insert' else 'update' end as type, ms as ts, {_v('event_id')} as id,
             usr as user_id, {_v('k')} as sku_id, k as sku_num, {_TIME.format('ts')} as create_time, day as dt,
@@ -222,10 +220,10 @@ _oracle("d5_dim_promotion_pos", "", f"""
     select {_v('s_suppkey')} as id, s_name as pos_location, {_v('s_nationkey')} as pos_type, {OD} as dt from supplier""")
 _oracle("d6_dim_promotion_refer", "", f"""
     select {_v('s_suppkey')} as id, s_name as refer_name, {OD} as dt from supplier""")
-_oracle("d8a_scd2_init", "ev", f"""
-    select usr as id, 'user ' || usr as name, 'L' || k as user_level, {ED} as start_date, {_OPEN} as end_date,
-        {_OPEN} as dt
-    from ev where event_type = 'signup' and day = {ED}""")
+_oracle("d8a_scd2_init", "", f"""
+    select {_v('c_custkey')} as id, c_name as name, c_mktsegment as user_level, {ED} as start_date,
+        {_OPEN} as end_date, {_OPEN} as dt
+    from customer""")
 
 
 def _states(*days: str) -> str:

@@ -443,12 +443,13 @@ class Standins:
         )
 
     def logins(self) -> DataFrame:
-        """Purchases as logins, from a user's first day on; that day follows from the user's nation."""
-        start = F.date_add(F.lit("2024-01-06").cast("date"), F.col("c_nationkey")).cast("string")
-        rows = self.events().where(F.col("event_type") == "purchase").join(
-            self.table("customer"), F.col("user_id") == F.col("c_custkey")
-        )
-        return rows.where(F.col("day") >= start).select(_text("user_id").alias("user_id"), F.col("day").alias("dt"))
+        """Purchases as logins, and those of earlier days as registrations.
+
+        A user stands for eight by the purchased item: so there are new users in the last days too.
+        """
+        rows = self.events().where(F.col("event_type") == "purchase")
+        user = F.concat_ws("-", _text("user_id"), _text(F.col("k") % 8))
+        return rows.select(user.alias("user_id"), F.col("day").alias("dt"))
 
     def event_orders(self, day: str | None = None) -> DataFrame:
         """Purchases as one-line orders in the shape of the order detail fact."""
@@ -507,6 +508,18 @@ class Standins:
 
     # Users
 
+    def user_boot(self) -> DataFrame:
+        """All customers as the bootstrap copy of the event day, among changes of other kinds and days."""
+        copy = self.table("customer").select(
+            F.lit("bootstrap-insert").alias("type"), F.lit(0).cast("bigint").alias("ts"),
+            F.struct(
+                _text("c_custkey").alias("id"), F.col("c_name").alias("name"),
+                F.col("c_mktsegment").alias("user_level"),
+            ).alias("data"),
+            F.lit(EVENT_DAY).alias("dt"),
+        )
+        return copy.unionByName(self.user_feed())
+
     def user_open(self) -> DataFrame:
         """Customers as open interval rows from before the first event day."""
         return self.table("customer").select(
