@@ -79,6 +79,8 @@ def _per_text(flags: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 
 _BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+#: Columns that this operator adds.
+MADE = (*_BASE, "n_removed_words", "base_failed", "kept")
 _LINE = T.ArrayType(T.StructType([T.StructField("line", T.LongType()), T.StructField("n", T.LongType())]))
 
 
@@ -148,7 +150,7 @@ def judged(docs: DataFrame, text: str = "text", host: str = "source", max_docume
     all_ = lined.join(lost, "at", "left").withColumn("n_removed_words", F.coalesce("lost", F.lit(0).cast("long")))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     kept = ~failed & (F.col("n_words") - F.col("n_removed_words") >= min_left * F.col("n_words"))
-    return frames.unpacked(all_.withColumn("base_failed", failed).withColumn("kept", kept), columns, *_BASE, "n_removed_words", "base_failed", "kept")
+    return frames.unpacked(all_.withColumn("base_failed", failed).withColumn("kept", kept), columns, *MADE)
 
 
 def _numbered(df: DataFrame) -> DataFrame:
