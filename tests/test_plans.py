@@ -6,14 +6,14 @@ from pathlib import Path
 
 import pytest
 
-import __spark_entry__ as contract
 from martline.functions.dates import shift
 from martline.operators import reports, rollups, scd2, sinks
+from martline.plans.catalog import QUERIES
 from martline.sources import files
 
 DIR = Path("/root/testdata/sf0.001")
 DAY = "2022-06-08"
-LAZY = [name for name in contract.queries() if name[0] not in "sk"]
+LAZY = [name for name in QUERIES if name[0] not in "sk"]
 
 
 def plan(df):
@@ -26,7 +26,7 @@ def test_no_python_no_cross_join_no_forced_broadcast(spark, name):
     threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        text = plan(contract.queries()[name](spark, str(DIR)))
+        text = plan(QUERIES[name](spark, str(DIR)))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     for banned in ("Python", "Cartesian", "NestedLoop", "BroadcastHashJoin"):
