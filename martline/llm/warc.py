@@ -24,7 +24,7 @@ from martline.llm import frames
 from martline.plans.scratch import new_folder
 
 #: Payloads below this many bytes are always stored; a run file holds about this many bytes.
-LEAST_REVISIT, RUN_BYTES = 100, 16 << 20
+LEAST_REVISIT, RUN_BYTES = 100, 8 << 20
 _LINE = "\r\n"
 _INDEX = "page_id long, url string, captured string, record_type string, refers_to long, payload_bytes long, payload_digest string, run string, at long"
 
