@@ -4,11 +4,14 @@ A line is normalised (A-Z in lower case, runs of white space as one space, digit
 distinct documents that hold it are counted; lines in more than ``max_documents`` documents and more than ``max_share`` of
 the host's documents are removed, and a document left with less than ``min_left`` of its words is rejected.
 
-Exact and near copies count as one document: what is counted are distinct sketches, the least hash over a document's
-windows of three words, which most copies share. Where the sketches are fewer than ``min_variety`` of the rows with the
-line, the line comes from a group of copies; it is left alone, and the group to the duplicate stages. Else the copies of
-a good text would all be rejected, the first one too. Counting combines before each shuffle, so a host or a line with a
-third of all rows costs one row per task and sketch.
+Exact and near copies count as one document, else the copies of a good text would all be rejected, the first one too.
+They are told by what else a document has: its other lines that stand, as they are, in at most ``max_documents`` different
+texts of the host. Boilerplate has no part in that, however much of the page it is. Of these lines' windows of three words,
+``SKETCHES`` least hashes are taken. Documents with the line that share one are taken for copies, and each counts as one
+part of the largest such group that it is in; groups are not linked on, so texts that share a phrase do not run together in
+a large host. Documents that have less than ``MIN_OWN`` of their words in such lines, as copies with a few words changed,
+are one group. Counting combines before each shuffle, so a host or a line with a third of all rows costs one row per task
+and text.
 """
 
 from __future__ import annotations
@@ -29,11 +32,13 @@ SYMBOLS = b"#*$%&|<>"
 MIN_WORDS, MAX_REPEAT_PERCENT, REPEAT_WINDOW = 50, 50, 3
 #: Limits of a line within a host, and the share of its words that a document must keep.
 MAX_DOCUMENTS, MAX_SHARE, MIN_LEFT = 20, 0.01, 0.3
-#: Distinct sketches that a boilerplate line has at least for each row with it.
-MIN_VARIETY = 0.5
+#: Least hashes of a document's own lines, and the share of its words that they hold at least in a document of its own.
+SKETCHES, MIN_OWN = 4, 0.08
 
 _NORMAL = bytes(c + 32 if 65 <= c <= 90 else 48 if 48 <= c <= 57 else c for c in range(256))
 _NEW_LINE = 10
+_SEEDS = words.mix(np.arange(1, SKETCHES + 1, dtype=np.uint64))
+_KEYS = [f"s{k}" for k in range(SKETCHES)]
 
 
 def normalised(line: bytes) -> bytes:
@@ -62,14 +67,14 @@ def _repeat_words(found: words.Words, hashes: np.ndarray) -> np.ndarray:
     return sums[found.first[1:]] - sums[found.first[:-1]]
 
 
-def _sketches(found: words.Words, hashes: np.ndarray) -> list[int | None]:
-    """Per text: the least hash of a window of three words, or of a word where there are fewer; None without words."""
-    out: list[int | None] = []
+def _sketches(found: words.Words, hashes: np.ndarray) -> list[np.ndarray]:
+    """Per text: its least hashes of windows of three words, or of words where there are fewer; empty without words."""
+    out = []
     for low, n in zip(found.first[:-1].tolist(), found.counts().tolist(), strict=True):
         own = hashes[low : low + n]
         if n >= REPEAT_WINDOW:
             own = words.windows(own, np.arange(n - REPEAT_WINDOW + 1), REPEAT_WINDOW)
-        out.append(int(own.min().view(np.int64)) if n else None)
+        out.append(words.mix(own ^ _SEEDS[:, None]).min(1).view(np.int64) if n else np.zeros(0, np.int64))
     return out
 
 
@@ -81,11 +86,13 @@ def _per_text(flags: np.ndarray, at: np.ndarray) -> np.ndarray:
 _BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 #: Columns that this operator adds.
 MADE = (*_BASE, "n_removed_words", "base_failed", "kept")
-_LINE = T.ArrayType(T.StructType([T.StructField("line", T.LongType()), T.StructField("n", T.LongType())]))
+_LINE = T.ArrayType(T.StructType([T.StructField(c, T.LongType()) for c in ("line", "exact", "n", *_KEYS)]))
 
 
 def _measured(texts: pa.Array) -> dict[str, list]:
-    """Base counts and lines with words (hash and words) of each text."""
+    """Base counts, lines with words (hash, words and sketches) and hash of each text."""
+    from xxhash import xxh64_intdigest
+
     data, at = words.raw(texts)
     found = words.scan(texts)
     hashes = found.hashes()
@@ -95,42 +102,89 @@ def _measured(texts: pa.Array) -> dict[str, list]:
     out = {
         "n_words": found.counts().tolist(), "word_chars": _per_text(starts & words.INSIDE[data], at).tolist(),
         "n_symbols": _per_text(symbol[data], at).tolist(), "n_repeat_words": _repeat_words(found, hashes).tolist(),
-        "n_dup_lines": [], "lines": [], "sketch": _sketches(found, hashes),
+        "n_dup_lines": [], "lines": [], "copy": [],
     }
     for low, high in zip(at[:-1], at[1:], strict=True):
-        every = [x for x in data[low:high].tobytes().split(b"\n") if x.split()]
+        whole = data[low:high].tobytes()
+        every = [x for x in whole.split(b"\n") if x.split()]
         out["n_dup_lines"].append(len(every) - len(set(every)))
-        out["lines"].append([{"line": line_hash(x), "n": len(x.split())} for x in every])
+        out["lines"].append(_lines(every))
+        out["copy"].append(xxh64_intdigest(whole) - (1 << 63) if every else None)
     return out
 
 
+def _lines(every: list[bytes]) -> list[dict[str, int]]:
+    from xxhash import xxh64_intdigest
+
+    found = words.scan(pa.array(every, pa.binary()))
+    least = _sketches(found, found.hashes()) if every else []
+    return [
+        {"line": line_hash(x), "exact": xxh64_intdigest(x) - (1 << 63), "n": len(x.split()), **dict(zip(_KEYS, k.tolist(), strict=True))}
+        for x, k in zip(every, least, strict=True)
+    ]
+
+
 def measured(docs: DataFrame, text: str, host: str, carry: Sequence[str]) -> DataFrame:
-    """``row`` (the columns ``carry``), ``host``, the base counts, ``lines`` and ``sketch`` of each document."""
+    """``row`` (the columns ``carry``), ``host``, the base counts, ``lines`` and ``copy`` (hash of the text) of each document."""
     frames.ready(docs.sparkSession)
     dealt = docs.select(F.struct(*[F.col(f"`{c}`") for c in carry]).alias("row"), F.col(f"`{text}`").alias("text"), F.col(f"`{host}`").cast("string").alias("host"))
     schema = T.StructType([
         dealt.schema["row"], dealt.schema["host"], *[T.StructField(c, T.LongType()) for c in _BASE],
-        T.StructField("lines", _LINE), T.StructField("sketch", T.LongType()),
+        T.StructField("lines", _LINE), T.StructField("copy", T.LongType()),
     ])
-    arrow = {**{c: pa.int64() for c in (*_BASE, "sketch")}, "lines": pa.list_(pa.struct([("line", pa.int64()), ("n", pa.int64())]))}
+    arrow = {**{c: pa.int64() for c in (*_BASE, "copy")}, "lines": pa.list_(pa.struct([(c, pa.int64()) for c in ("line", "exact", "n", *_KEYS)]))}
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for low, high in words.slices(b.column("text")):
                 part = b.slice(low, high - low)
                 m = _measured(part.column("text"))
-                names = [*_BASE, "lines", "sketch"]
+                names = [*_BASE, "lines", "copy"]
                 yield pa.RecordBatch.from_arrays([part.column("row"), part.column("host"), *[pa.array(m[c], arrow[c]) for c in names]], ["row", "host", *names])
 
     return dealt.mapInArrow(frames.per_task(each), schema)
 
 
-def frequent_lines(lined: DataFrame, max_documents: int = MAX_DOCUMENTS, max_share: float = MAX_SHARE, min_variety: float = MIN_VARIETY) -> DataFrame:
+def _at(many: DataFrame, few: DataFrame, column: str) -> DataFrame:
+    """``many`` with ``among``: whether ``host`` and ``column`` are in ``few``."""
+    few = few.select(F.col("host").alias("its host"), F.col(column).alias("its value"))
+    there = (F.col(column) == F.col("its value")) & F.col("host").eqNullSafe(F.col("its host"))
+    return many.join(few, there, "left").withColumn("among", F.col("its value").isNotNull()).drop("its host", "its value")
+
+
+def _documents(lined: DataFrame, max_documents: int, min_own: float) -> DataFrame:
+    """``host, line, n``: the distinct documents of the lines that are in more than ``max_documents`` different texts."""
+
+    def often(some: DataFrame, column: str) -> DataFrame:
+        texts = some.select("host", "copy", column).distinct().groupBy("host", column).agg(F.count("*").alias("n"))
+        return frames.written(texts.filter(F.col("n") > max_documents).select("host", column))
+
+    lines = lined.select("at", "host", "copy", F.explode("lines").alias("x")).select("at", "host", "copy", "x.*")
+    found = _at(lines, often(lines, "line"), "line")
+    found = _at(found.withColumnRenamed("among", "held"), often(found.filter("among"), "exact"), "exact")
+    docs = found.groupBy("at", "host").agg(
+        F.sum("n").alias("n"), F.collect_set(F.when(F.col("held"), F.col("line"))).alias("held"),
+        F.collect_list(F.when(~F.col("among"), F.struct("line", "n", *_KEYS))).alias("own"),
+    )
+    docs = docs.filter(F.size("held") > 0).select("host", "n", "own", F.explode("held").alias("line"))
+    docs = docs.withColumn("own", F.filter("own", lambda x: x["line"] != F.col("line")))
+    enough = F.aggregate("own", F.lit(0).cast("long"), lambda s, x: s + x["n"]) >= min_own * F.col("n")
+    keys = [F.when(enough, F.array_min(F.col("own")[k])).alias(k) for k in _KEYS]
+    alike = frames.written(docs.select("host", "line", *keys).groupBy("host", "line", *_KEYS).agg(F.count("*").alias("rows")))
+
+    keyed = alike.filter(F.col(_KEYS[0]).isNotNull()).select("*", F.posexplode(F.array(*_KEYS)).alias("k", "key"))
+    sizes = keyed.groupBy("host", "line", "k", "key").agg(F.sum("rows").alias("size"), F.count("*").alias("parts")).filter("parts > 1")
+    met = keyed.alias("a").join(sizes.alias("b"), F.expr("a.line = b.line AND a.k = b.k AND a.key = b.key AND a.host <=> b.host"), "left")
+    met = met.groupBy("a.host", "a.line", *_KEYS).agg(F.max(F.coalesce("size", "rows")).alias("size"), F.first("rows").alias("rows"))
+    bare = alike.filter(F.col(_KEYS[0]).isNull()).select("host", "line", F.lit(1.0).alias("part"))
+    parts = met.select("host", "line", (F.col("rows") / F.col("size")).alias("part")).union(bare)
+    return parts.groupBy("host", "line").agg(F.round(F.sum("part"), 6).alias("n"))  # whole groups add up to 1 but for rounding
+
+
+def frequent_lines(lined: DataFrame, max_documents: int = MAX_DOCUMENTS, max_share: float = MAX_SHARE, min_own: float = MIN_OWN) -> DataFrame:
     """``host, line`` of the lines above both limits, over distinct documents."""
-    own = lined.select("host", "sketch", F.explode(F.array_distinct(F.col("lines.line"))).alias("line"))
-    held = own.groupBy("host", "line", "sketch").agg(F.count("*").alias("rows"))
-    held = held.groupBy("host", "line").agg(F.count("*").alias("n"), F.sum("rows").alias("rows")).filter(F.col("n") >= min_variety * F.col("rows"))
-    sizes = lined.filter("sketch IS NOT NULL").select("host", "sketch").distinct().groupBy("host").agg(F.count("*").alias("size"))
+    held = _documents(lined, max_documents, min_own)
+    sizes = lined.filter("copy IS NOT NULL").select("host", "copy").distinct().groupBy("host").agg(F.count("*").alias("size"))
     over = held.filter(F.col("n") > max_documents).alias("l").join(sizes.alias("s"), F.expr("l.host <=> s.host"))
     return over.filter(F.col("n") > max_share * F.col("size")).select("l.host", "line")
 

@@ -7,6 +7,7 @@ import pytest
 
 from martline.llm.line_quality import judged, line_hash, normalised
 
+LETTERS = str.maketrans("0123456789", "abcdefghij")
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
@@ -66,3 +67,24 @@ def test_rare_lines_stay(spark):
     docs = spark.createDataFrame([(k, "the same line everywhere\n" + " ".join(f"d{k}w{i}" for i in range(55)), "h") for k in range(10)], "doc_id long, text string, source string")
     assert all(r["kept"] and r["n_removed_words"] == 0 for r in judged(docs).collect())
     assert judged(docs.limit(0)).collect() == []
+
+
+def test_pages_that_are_mostly_boilerplate(spark):
+    """Their least hash lies in what they share; 300 changed copies of one of them beside them alter nothing."""
+    def drawn(k, n):
+        return [f"{k}{i}".translate(LETTERS) for i in range(n)]  # digits would count as one
+
+    shared = "\n".join(" ".join(drawn(f"s{i}x", 12)) for i in range(10))
+    pages = [(k, f"{shared}\n{' '.join(drawn(f"p{k}x", 30))}", "h") for k in range(200)]
+    text = [drawn(f"t{i}x", 15) for i in range(12)]
+    changed = []
+    for k in range(400):  # a good text, one to three words of which are others in each copy
+        own = [list(x) for x in text]
+        for j in range(1 + k % 3):
+            own[(k * 7 + j * 5) % 12][(k + j) % 15] = f"c{k}x{j}".translate(LETTERS)
+        changed.append((1000 + k, "\n".join(map(" ".join, own)), "h"))
+    schema = "doc_id long, text string, source string"
+    for rows in (pages, pages + changed, pages + [(2000 + k, f"{shared}\n{' '.join([*drawn('p0x', 30), f'z{k}'.translate(LETTERS)])}", "h") for k in range(300)]):
+        got = judged(spark.createDataFrame(rows, schema)).collect()
+        assert len(got) == len(rows)
+        assert all(r["kept"] == (1000 <= r["doc_id"] < 2000) and r["n_removed_words"] == (0 if r["kept"] else 120) for r in got)
