@@ -1,8 +1,8 @@
 """Quality rules from the frequency of lines across the documents of a host (operator 7).
 
 A line is normalised (A-Z in lower case, runs of white space as one space, digits as 0) and hashed. Per host, the
-distinct documents that hold it are counted; lines in more than ``max_documents`` documents and more than ``max_share`` of
-the host's documents are removed, and a document left with less than ``min_left`` of its words is rejected.
+distinct documents that hold it are counted; lines in more than ``max_documents`` are removed, however large the host is,
+and a document left with less than ``min_left`` of its words is rejected.
 
 Exact and near copies count as one document, else the copies of a good text would all be rejected, the first one too.
 They are told by what else a document has: its other lines that stand, as they are, in at most ``max_documents`` different
@@ -30,8 +30,8 @@ from martline.llm import frames, words
 # Fixed values of the base rules.
 SYMBOLS = b"#*$%&|<>"
 MIN_WORDS, MAX_REPEAT_PERCENT, REPEAT_WINDOW = 50, 50, 3
-#: Limits of a line within a host, and the share of its words that a document must keep.
-MAX_DOCUMENTS, MAX_SHARE, MIN_LEFT = 20, 0.01, 0.3
+#: Documents of a host that a line may be in, and the share of its words that a document must keep.
+MAX_DOCUMENTS, MIN_LEFT = 20, 0.3
 #: Least hashes of a document's own lines, and the share of its words that they hold at least in a document of its own.
 SKETCHES, MIN_OWN = 4, 0.08
 
@@ -181,15 +181,12 @@ def _documents(lined: DataFrame, max_documents: int, min_own: float) -> DataFram
     return parts.groupBy("host", "line").agg(F.round(F.sum("part"), 6).alias("n"))  # whole groups add up to 1 but for rounding
 
 
-def frequent_lines(lined: DataFrame, max_documents: int = MAX_DOCUMENTS, max_share: float = MAX_SHARE, min_own: float = MIN_OWN) -> DataFrame:
-    """``host, line`` of the lines above both limits, over distinct documents."""
-    held = _documents(lined, max_documents, min_own)
-    sizes = lined.filter("copy IS NOT NULL").select("host", "copy").distinct().groupBy("host").agg(F.count("*").alias("size"))
-    over = held.filter(F.col("n") > max_documents).alias("l").join(sizes.alias("s"), F.expr("l.host <=> s.host"))
-    return over.filter(F.col("n") > max_share * F.col("size")).select("l.host", "line")
+def frequent_lines(lined: DataFrame, max_documents: int = MAX_DOCUMENTS, min_own: float = MIN_OWN) -> DataFrame:
+    """``host, line`` of the lines in more than ``max_documents`` distinct documents, in a host of any size."""
+    return _documents(lined, max_documents, min_own).filter(F.col("n") > max_documents).select("host", "line")
 
 
-def judged(docs: DataFrame, text: str = "text", host: str = "source", max_documents: int = MAX_DOCUMENTS, max_share: float = MAX_SHARE, min_left: float = MIN_LEFT, carry: Sequence[str] | None = None) -> DataFrame:
+def judged(docs: DataFrame, text: str = "text", host: str = "source", max_documents: int = MAX_DOCUMENTS, min_left: float = MIN_LEFT, carry: Sequence[str] | None = None) -> DataFrame:
     """``docs`` (of it the columns ``carry``, if given) with the base counts, ``n_removed_words`` (in frequent lines), ``base_failed`` and ``kept``.
 
     Null and empty texts have no words, so they fail the base rules. A null host is a host of its own. Repeated rows are
@@ -197,7 +194,7 @@ def judged(docs: DataFrame, text: str = "text", host: str = "source", max_docume
     """
     columns = list(docs.columns if carry is None else carry)
     lined = frames.written(_numbered(measured(docs, text, host, columns)))
-    often = frequent_lines(lined, max_documents, max_share)
+    often = frequent_lines(lined, max_documents)
     lines = lined.select("at", "host", F.explode("lines").alias("x")).select("at", "host", "x.line", "x.n")
     hit = lines.alias("a").join(often.alias("b"), F.expr("a.line = b.line AND a.host <=> b.host"), "left_semi")
     lost = hit.groupBy("at").agg(F.sum("n").alias("lost"))

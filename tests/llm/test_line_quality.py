@@ -88,3 +88,11 @@ def test_pages_that_are_mostly_boilerplate(spark):
         got = judged(spark.createDataFrame(rows, schema)).collect()
         assert len(got) == len(rows)
         assert all(r["kept"] == (1000 <= r["doc_id"] < 2000) and r["n_removed_words"] == (0 if r["kept"] else 120) for r in got)
+
+
+def test_verdict_does_not_depend_on_the_size_of_the_host(spark):
+    common = "the line of some pages " * 4
+    rows = [(k, f"{common}\n{' '.join(f'd{k}w{i}' for i in range(55))}", "h") for k in range(25)]
+    rows += [(100 + k, " ".join(f"e{k}w{i}" for i in range(55)), "h") for k in range(2600)]
+    got = judged(spark.createDataFrame(rows, "doc_id long, text string, source string")).filter("doc_id < 100").collect()
+    assert len(got) == 25 and all(r["n_removed_words"] == 20 for r in got)
