@@ -401,7 +401,7 @@ def _(t: Standins) -> DataFrame:
 @_query("f3_fact_payment_success")
 def _(t: Standins) -> DataFrame:
     return facts.fact_payment_success(
-        *t.order_feeds(changefeed.INSERT, shift(OD, -1), OD), t.payment_feed(changefeed.UPDATE),
+        *t.order_feeds(changefeed.INSERT), t.payment_feed(changefeed.UPDATE),
         t.dictionary(), OD,
     )
 

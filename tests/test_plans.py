@@ -9,6 +9,7 @@ import pytest
 from martline.functions.dates import shift
 from martline.operators import reports, rollups, scd2, sinks
 from martline.plans.catalog import QUERIES
+from martline.plans.standins import Standins
 from martline.sources import files
 
 DIR = Path("/root/testdata/sf0.001")
@@ -81,3 +82,12 @@ def test_untouched_open_rows_are_neither_shuffled_nor_sorted(spark):
     changes = spark.range(1).selectExpr("string(id) id", "'x' name")
     text = plan(scd2.scd2_merged(open_rows, changes, DAY))
     assert "Exchange hashpartitioning" not in text and "BroadcastHashJoin" in text
+
+
+@pytest.mark.skipif(not DIR.exists(), reason="driver tables are not here")
+@pytest.mark.parametrize("name", ["f2_fact_order_detail", "f3_fact_payment_success"])
+def test_daily_facts_read_uncut_order_feeds(spark, monkeypatch, name):
+    asked, real = [], Standins.order_feeds
+    monkeypatch.setattr(Standins, "order_feeds", lambda self, *a, **k: asked.append((a[1:], k)) or real(self, *a, **k))
+    QUERIES[name](spark, str(DIR))
+    assert asked == [((), {})]
