@@ -24,7 +24,11 @@ from martline.llm import frames
 # The roles of HTML elements.
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
-UNSEEN = frozenset("head script style template noscript title iframe noembed noframes object video audio canvas svg datalist".split())
+UNSEEN = frozenset("head script style template noscript title iframe noembed noframes object video audio canvas datalist".split())
+#: Of a drawing, the elements with text, and what is defined there but not drawn itself.
+DRAWN, UNDRAWN = frozenset(("text", "foreignobject")), frozenset("defs symbol clippath mask marker pattern desc metadata".split())
+#: Inputs whose value is not shown as text.
+MUTE = frozenset("hidden password checkbox radio file image color range".split())
 APART = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl blockquote pre table figure hr fieldset".split())
 BLOCK = frozenset("""html body address article aside center details dialog dd div dt figcaption footer form header legend
 li main nav section summary option optgroup caption""".split())
@@ -40,8 +44,8 @@ CLOSES = {
     **{p: (CELLS | PARTS | {"tr", "caption", "colgroup"}, {"table"}) for p in PARTS},
 }
 
-_TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|</([A-Za-z][^\s/>]*)[^>]*>|<([A-Za-z][^\s/>]*)((?:[^>\"']++|\"[^\"]{0,65536}+\"|'[^']{0,65536}+')*+|[^>]*)>", re.S)
+_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|</([A-Za-z][^\s/>]*)[^>]*>|<([A-Za-z][^\s/>]*)", re.S)
+_MARK = re.compile("[>\"']")
 _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 _WHITE = re.compile(r"[ \t\n\r\f]+")
 _GONE = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
@@ -55,7 +59,7 @@ class Node:
 
     def seen(self) -> bool:
         a = self.attributes
-        return not (self.tag in UNSEEN or a and ("hidden" in a or _GONE.search(a.get("style", "")) or (self.tag == "input" and a.get("type") == "hidden")))
+        return not (self.tag in UNSEEN or a and ("hidden" in a or _GONE.search(a.get("style", "")) or (self.tag == "input" and a.get("type", "").lower() == "hidden")))
 
 
 def _attributes(text: str) -> dict[str, str]:
@@ -92,6 +96,9 @@ class Builder:
         if tag not in VOID and (len(self.open) < DEPTH or (len(self.open) == DEPTH and not node.seen())):
             self.open.append(node)
 
+    def drawing(self) -> bool:
+        return any(n.tag == "svg" for n in self.open)
+
     def start(self, tag: str, attributes: dict[str, str]) -> None:
         if tag in ("html", "body"):
             if tag == "body":
@@ -130,22 +137,53 @@ class Builder:
         return None
 
 
+def _tag_end(page: str, at: int, last: int, failed: set[int]) -> int:
+    """Where the ``>`` of a start tag is that has its attributes from ``at`` on, -1 if nowhere.
+
+    Quoted values may hold ``>`` and be of any length. If the page ends inside the tag so read, quotes mean nothing.
+    ``failed`` keeps the quotes from which the page's end was met, so all tags together read the page twice at most.
+    """
+    met, here = [], at
+    while m := _MARK.search(page, here, last):
+        if m[0] == ">":
+            return m.start()
+        if m.start() in failed:
+            break
+        met.append(m.start())
+        here = page.find(m[0], m.end(), last) + 1
+        if not here:
+            break
+    failed.update(met)
+    return page.find(">", at, last)
+
+
 def parse(page: str) -> Node:
     build, at, last = Builder(), 0, page.rfind(">") + 1
     cut = page.rfind("<!--")
     last = len(page) if cut >= last else last  # a comment that never ends
-    while m := _TAG.search(page, at, last):
+    failed: set[int] = set()
+    here = 0
+    while m := _TAG.search(page, here, last):
+        here = m.end()
+        if m[2]:
+            stop = _tag_end(page, here, last, failed)
+            if stop < 0:
+                continue
+            text, here = page[here:stop], stop + 1
         build.text(page[at : m.start()])
-        at = m.end()
+        at = here
         if m[1]:
             build.end(m[1].lower())
         elif m[2]:
             tag = m[2].lower()
-            build.start(tag, _attributes(m[3]))
+            build.start(tag, _attributes(text))
+            if text.endswith("/") and tag not in VOID and build.open[-1].tag == tag and build.drawing():
+                build.open.pop()  # in drawings an element may end with its start tag
+                continue
             if tag in RAW:
                 stop = re.compile(f"</{re.escape(tag)}(?=[\\s/>]|\\Z)", re.I).search(page, at)
                 inner = page[at : stop.start() if stop else len(page)]
-                at = stop.start() if stop else len(page)
+                at = here = stop.start() if stop else len(page)
                 if tag == "textarea":
                     build.text(inner)
                 if not stop:
@@ -278,6 +316,21 @@ class Grid:
 _OPEN, _SHUT = 0, 1
 
 
+def _drawn(svg: Node) -> list[Node]:
+    """The elements with text of a drawing, in order."""
+    out, waiting = [], list(reversed(svg.children))
+    while waiting:
+        node = waiting.pop()
+        if isinstance(node, str) or node.tag in UNDRAWN or not node.seen() or node.attributes.get("display") == "none" or node.attributes.get("visibility") == "hidden":
+            continue
+        if node.tag in DRAWN:
+            out.append(Node("div", node.attributes))  # on a line of its own
+            out[-1].children = [c for c in node.children if isinstance(c, str) or c.tag not in UNDRAWN]
+        else:
+            waiting.extend(reversed(node.children))
+    return out
+
+
 def render(root: Node) -> str:
     """Text of the tree, lines joined by line ends."""
     flows, grids, lists = [Flow()], [], []
@@ -330,7 +383,7 @@ def render(root: Node) -> str:
                 if a.get("alt"):
                     flow.words(a["alt"])
             elif tag == "input":
-                if a.get("value") and a.get("type", "text") in ("text", "submit", "button", "reset", "email", "search"):
+                if a.get("value") and a.get("type", "").lower() not in MUTE:
                     flow.words(a["value"])
             elif tag == "#indent":
                 flow.indent -= int(a["n"])
@@ -339,7 +392,7 @@ def render(root: Node) -> str:
                 continue
             if tag not in VOID:
                 stack.append((_SHUT, node))
-                stack.extend((_OPEN, c) for c in reversed(node.children))
+                stack.extend((_OPEN, c) for c in reversed(_drawn(node) if tag == "svg" else node.children))
             continue
         if tag in CELLS and grids:
             lists.pop()

@@ -65,3 +65,14 @@ def test_frame(spark):
     done = extract(pages)
     assert done.columns == ["page_id", "html", "text"] and sorted(r["text"] for r in done.collect()) == ["", "a", "a"]
     assert extract(pages.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize(("page", "text"), [
+    ("".join(f"<input type={k} value={k}1>" for k in ("number", "tel", "URL", "date", "time", "month", "other")), "number1tel1URL1date1time1month1other1"),
+    ("a".join(f"<input type={k} value=no>" for k in ("hidden", "HIDDEN", "password", "checkbox", "radio", "file", "image", "color", "range")), "aaaaaaaa"),
+    ("a<svg><title>no</title><defs><text>no</text></defs><style/>" + "<path d='M0'/>" * 600 + "<g><text x=1>b <tspan>c</tspan></text></g>no<text display=none>no</text><text>d</text></svg>e", "a\nb c\nd\ne"),
+    (f"<a title='{'<b>no</b> ' * 20_000}'>l</a>", "l"), (f'<p data-x="{">" * 70_000}">t', "t"),
+    ("<a '>'" * 50_000 + "x", None), ("<b <!-- c", "<b"),
+])
+def test_whole_visible_text(page, text):
+    assert visible_text(page) == text or (text is None and visible_text(page).endswith("x"))
