@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from martline.llm import ball_tree, bpe, harmonic, html_layout, line_quality, preference, simhash_golay, substring_dedup, toxicity, warc
+from martline.llm import ball_tree, bpe, collocations, harmonic, html_layout, line_quality, preference, simhash_golay, substring_dedup, toxicity, warc
 
 QUERIES = {
     "op1_substring_dedup": substring_dedup.op1_substring_dedup,
@@ -15,9 +15,11 @@ QUERIES = {
     "op8_bpe_round_trip": bpe.op8_bpe_round_trip,
     "op9_html_layout_text": html_layout.op9_html_layout_text,
     "op10_toxicity_chain": toxicity.op10_toxicity_chain,
+    "op13_phrase_collocations": collocations.op13_phrase_collocations,
 }
 
 SQL = {
+    "op13_phrase_collocations": collocations.SQL,
     "op4_preference_format": preference.SQL,
     "op5_warc_index_merge": warc.SQL,
     "op3_ball_tree_top_k": ball_tree.SQL,
