@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from martline.llm import ball_tree, bpe, collocations, harmonic, html_layout, line_quality, preference, simhash_golay, substring_dedup, toxicity, warc, word_runs
+from martline.llm import ball_tree, bpe, collocations, harmonic, html_layout, license_scan, line_quality, preference, simhash_golay, substring_dedup, toxicity, warc, word_runs
 
 QUERIES = {
     "op1_substring_dedup": substring_dedup.op1_substring_dedup,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_bpe_round_trip": bpe.op8_bpe_round_trip,
     "op9_html_layout_text": html_layout.op9_html_layout_text,
     "op10_toxicity_chain": toxicity.op10_toxicity_chain,
+    "op11_license_scan": license_scan.op11_license_scan,
     "op12_periodic_runs": word_runs.op12_periodic_runs,
     "op13_phrase_collocations": collocations.op13_phrase_collocations,
 }
