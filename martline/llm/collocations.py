@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martline.llm import frames, words
+from martline.plans.scratch import new_folder
 
 #: Bytes that end a piece, and bytes that end a word in it.
 PIECE, BLANK = b".,;:!?\n\x0b\x0c\r", b" \t"
@@ -40,9 +41,28 @@ _INSIDE[list(PIECE + BLANK)] = False
 _ENDS = np.zeros(256, bool)
 _ENDS[list(PIECE)] = True
 _LOWER = np.array([c + 32 if 65 <= c <= 90 else c for c in range(256)], np.uint8)
-_STATE = "block long, lang string, n long, words array<binary>, prefix binary, next binary, counts binary, at binary, element binary"
-_SENT = "block long, lang string, part long, words array<binary>, prefix binary, next binary, counts binary"
-_MERGED = "lang string, block long, part long, numbers binary, id long, prefix long, next long, word binary, f long"
+#: A block's row without ``part`` holds its places, the rows with one its distinct elements in that part of their stripes.
+_TABLE = "block long, lang string, part long, n long, words array<binary>, prefix binary, next binary, counts binary, at binary, element binary, parts binary"
+_MERGED = "lang string, block long, part long, hits binary, numbers binary, id long, prefix long, next long, word binary, f long"
+
+
+def _planes(values: np.ndarray, kind: type) -> bytes:
+    """Integers byte by byte: first the lowest byte of all of them. The high bytes, mostly zero, then compress to nothing."""
+    v = np.ascontiguousarray(values, kind)
+    return v.view(np.uint8).reshape(len(v), v.itemsize).T.tobytes()
+
+
+def _values(data: bytes, kind: type) -> np.ndarray:
+    return np.frombuffer(data, np.uint8).reshape(np.dtype(kind).itemsize, -1).T.copy().view(kind).ravel()
+
+
+def _rising(values: np.ndarray, kind: type) -> bytes:
+    """Integers in order as planes of their differences."""
+    return _planes(np.diff(values, prepend=0), kind)
+
+
+def _risen(data: bytes, kind: type) -> np.ndarray:
+    return np.cumsum(_values(data, kind), dtype=np.int64)
 
 
 def _placed(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
@@ -63,27 +83,35 @@ def _placed(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     return made, np.arange(len(size)) + np.cumsum(cut)
 
 
-def _bytes(values: np.ndarray, kind: type) -> bytes:
-    return np.ascontiguousarray(values, kind).tobytes()
+def _rows(head: dict, names: pa.Array | None, prefix: np.ndarray, following: np.ndarray, counts: np.ndarray, at: np.ndarray, element: np.ndarray, ranges: int) -> list[dict]:
+    """All rows of one block: its elements are numbered by part, prefix and next, so an answer names them by their place in the part's row."""
+    part = _parts(names, prefix, following, ranges)
+    order = np.argsort(part, kind="stable") if names is not None else np.lexsort((following, prefix, part))
+    number = np.empty(len(order), np.int64)
+    number[order] = np.arange(len(order))
+    parts, begin = np.unique(part[order], return_index=True)
+    every = [head | {"at": _rising(at, np.int32), "element": _planes(number[element], np.int32), "parts": _planes(np.concatenate([parts, begin, [len(order)]]), np.int64)}]
+    for p, own in zip(parts.tolist(), np.split(order, begin[1:]), strict=True):
+        row = head | {"part": p, "n": None, "counts": _planes(counts[own], np.int64)}
+        if names is not None:
+            row |= {"words": names.take(pa.array(own)).to_pylist()}
+        else:
+            row |= {"prefix": _rising(prefix[own], np.int64), "next": _planes(following[own], np.int64)}
+        every.append(row)
+    return every
 
 
-def _block(number: int, lang: str, parts: list[tuple[pa.Array, np.ndarray]]) -> dict:
-    """The first state: the elements are distinct words, in the stripe of the empty prefix."""
+def _block(head: dict, parts: list[tuple[pa.Array, np.ndarray]], ranges: int) -> list[dict]:
+    """The first rows of a block: the elements are distinct words, in the stripe of the empty prefix."""
     coded = pa.concat_arrays([w for w, _ in parts]).dictionary_encode()
     element = coded.indices.to_numpy()
     at, base = [], 0
     for _, places in parts:
         at.append(places + base)
         base += int(places[-1]) + 2
-    return {
-        "block": number, "lang": lang, "n": len(element), "words": coded.dictionary.to_pylist(), "prefix": b"", "next": b"",
-        "counts": _bytes(np.bincount(element, minlength=len(coded.dictionary)), np.int64),
-        "at": _bytes(np.concatenate(at), np.int32), "element": _bytes(element, np.int32),
-    }
-
-
-def _batch(rows: list[dict], schema: pa.Schema) -> pa.RecordBatch:
-    return pa.RecordBatch.from_pylist(rows, schema)
+    none = np.zeros(0, np.int64)
+    counts = np.bincount(element, minlength=len(coded.dictionary))
+    return _rows(head | {"n": len(element)}, coded.dictionary, none, none, counts, np.concatenate(at), element, ranges)
 
 
 def _arrow(ddl: str) -> pa.Schema:
@@ -91,11 +119,11 @@ def _arrow(ddl: str) -> pa.Schema:
     return pa.schema([(n, kinds[k]) for n, k in (f.split(" ") for f in ddl.split(", "))])
 
 
-def blocks(docs: DataFrame, text: str, lang: str) -> DataFrame:
-    """The first state of every block: all words of the texts of one language in one part of a task."""
+def blocks(docs: DataFrame, text: str, lang: str, ranges: int) -> DataFrame:
+    """The first table of all blocks: a block is all words of the texts of one language in one part of a task."""
     from pyspark import TaskContext
 
-    schema = _arrow(_STATE)
+    schema = _arrow(_TABLE)
     dealt = docs.select(F.coalesce(F.col(f"`{lang}`").cast("string"), F.lit("und")).alias("lang"), F.col(f"`{text}`").alias("text")).filter("text IS NOT NULL")
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -103,10 +131,9 @@ def blocks(docs: DataFrame, text: str, lang: str) -> DataFrame:
 
         def sent() -> Iterator[pa.RecordBatch]:
             nonlocal number
-            for name, parts in held.items():
-                yield _batch([_block(number, name, parts)], schema)
+            for name in list(held):
+                yield pa.RecordBatch.from_pylist(_block({"block": number, "lang": name}, held.pop(name), ranges), schema)
                 number += 1
-            held.clear()
 
         for b in batches:
             for low, high in words.slices(b.column("text")):
@@ -123,117 +150,93 @@ def blocks(docs: DataFrame, text: str, lang: str) -> DataFrame:
                     size = 0
         yield from sent()
 
-    return dealt.mapInArrow(frames.per_task(each), _STATE)
+    return dealt.mapInArrow(frames.per_task(each), _TABLE)
 
 
-def _parts(names: list[bytes], prefix: np.ndarray, following: np.ndarray, ranges: int) -> np.ndarray:
+def _parts(names: pa.Array | None, prefix: np.ndarray, following: np.ndarray, ranges: int) -> np.ndarray:
     """The part of each element: by the word in the stripe of the empty prefix, else by prefix and a share of its stripe."""
-    if names:
-        return np.fromiter((crc32(w) % ranges for w in names), np.int64, len(names))
+    if names is not None:
+        return np.fromiter((crc32(w) % ranges for w in names.to_pylist()), np.int64, len(names))
     share = words.mix(following.astype(np.uint64)) % np.uint64(SUB)
     return (words.mix(words.mix(prefix.astype(np.uint64)) + share) % np.uint64(ranges)).astype(np.int64)
 
 
-def _elements(row: dict, ranges: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Prefix, next, counts and part of a state's distinct elements."""
-    prefix, following = np.frombuffer(row["prefix"], np.int64), np.frombuffer(row["next"], np.int64)
-    return prefix, following, np.frombuffer(row["counts"], np.int64), _parts(row["words"], prefix, following, ranges)
-
-
-def _sent(state: DataFrame, ranges: int) -> DataFrame:
-    """The elements of each block, one row for each part that it has some of."""
-    schema = _arrow(_SENT)
-
-    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for row in b.to_pylist():
-                prefix, following, counts, part = _elements(row, ranges)
-                order = np.argsort(part, kind="stable")
-                names, begin = np.unique(part[order], return_index=True)
-                out = []
-                for p, own in zip(names.tolist(), np.split(order, begin[1:]), strict=True):
-                    chosen = [row["words"][k] for k in own.tolist()] if row["words"] else []
-                    some = [_bytes(v[own], np.int64) if len(v) else b"" for v in (prefix, following, counts)]
-                    out.append({"block": row["block"], "lang": row["lang"], "part": p, "words": chosen, "prefix": some[0], "next": some[1], "counts": some[2]})
-                yield _batch(out, schema)
-
-    return state.select("block", "lang", "words", "prefix", "next", "counts").mapInArrow(frames.per_task(each), _SENT)
-
-
-def _joined(column: pa.ChunkedArray) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.int64)
-
-
-def merged(sent: DataFrame, least: int) -> DataFrame:
-    """The stripes of each part, merged: their frequent elements (``id`` and so on) and for each block (``block``) the numbers of those it sent, -1 for rare ones."""
+def merged(table: DataFrame, least: int) -> DataFrame:
+    """The stripes of each part, merged: their frequent elements (rows with ``id``), and for each block (rows with ``block``) which of those it sent are frequent, and their numbers."""
     schema = _arrow(_MERGED)
 
     def merge(group: pa.Table) -> pa.Table:
-        counts, sizes = _joined(group["counts"]), [len(c) // 8 for c in group["counts"].to_pylist()]
-        prefix, following = _joined(group["prefix"]), _joined(group["next"])
+        sent = [_values(c, np.int64) for c in group["counts"].to_pylist()]
+        counts, sizes = np.concatenate(sent), [len(c) for c in sent]
         lang, part = group["lang"][0].as_py(), group["part"][0].as_py()
-        if len(prefix):
+        named = group["prefix"].null_count > 0
+        if named:
+            coded = group["words"].combine_chunks().flatten().dictionary_encode()
+            element = coded.indices.to_numpy().astype(np.int64)
+            first = np.unique(element, return_index=True)[1]
+        else:
+            prefix = np.concatenate([_risen(c, np.int64) for c in group["prefix"].to_pylist()])
+            following = np.concatenate([_values(c, np.int64) for c in group["next"].to_pylist()])
             order = np.lexsort((following, prefix))
             p, n = prefix[order], following[order]
             new = np.concatenate([[True], (p[1:] != p[:-1]) | (n[1:] != n[:-1])])
             element = np.empty(len(order), np.int64)
             element[order] = np.cumsum(new) - 1
             first = order[new]
-        else:
-            coded = group["words"].combine_chunks().flatten().dictionary_encode()
-            element = coded.indices.to_numpy().astype(np.int64)
-            first = np.unique(element, return_index=True)[1]
         f = np.zeros(len(first), np.int64)
         np.add.at(f, element, counts)
         often = np.flatnonzero(f >= least)
         number = np.full(len(f), -1, np.int64)
         number[often] = (part << 36) + np.arange(len(often))
-        own = number[element]
-        answers = [x.tobytes() if (x >= 0).any() else None for x in np.split(own, np.cumsum(sizes)[:-1])]
-        said = pa.table({"block": group["block"], "numbers": pa.array(answers, pa.binary())}).filter(pa.array([a is not None for a in answers], pa.bool_()))
-        table = {"id": pa.array(number[often]), "f": pa.array(f[often])}
-        if len(prefix):
-            table |= {"prefix": pa.array(prefix[first[often]]), "next": pa.array(following[first[often]])}
+        answers = {"block": [], "hits": [], "numbers": []}
+        for block, own in zip(group["block"].to_pylist(), np.split(number[element], np.cumsum(sizes)[:-1]), strict=True):
+            hit = np.flatnonzero(own >= 0)
+            if len(hit):
+                for k, v in zip(answers, (block, _rising(hit, np.int32), _planes(own[hit], np.int64)), strict=True):
+                    answers[k].append(v)
+        said = pa.table({k: pa.array(v, schema.field(k).type) for k, v in answers.items()} | {"part": pa.array([part] * len(answers["block"]), pa.int64())})
+        found = {"id": pa.array(number[often]), "f": pa.array(f[often])}
+        if named:
+            found |= {"word": coded.dictionary.take(pa.array(often))}
         else:
-            table |= {"word": coded.dictionary.take(pa.array(often))}
+            found |= {"prefix": pa.array(prefix[first[often]]), "next": pa.array(following[first[often]])}
         frames.trim()
-        pieces = [said.append_column("part", pa.array([part] * len(said), pa.int64())), pa.table(table)]
         whole = [
             pa.table({c.name: pa.array([lang] * len(t), c.type) if c.name == "lang" else t[c.name] if c.name in t.column_names else pa.nulls(len(t), c.type) for c in schema})
-            for t in pieces
+            for t in (said, pa.table(found))
         ]
         return pa.concat_tables(whole)
 
+    sent = table.filter("part IS NOT NULL").select("block", "lang", "part", "words", "prefix", "next", "counts")
     return sent.groupBy("lang", "part").applyInArrow(merge, _MERGED)
 
 
-def _longer(state: DataFrame, answers: DataFrame, ranges: int) -> DataFrame:
-    """The state one word on: where frequent elements stand at neighbouring places, each pair of them is an element."""
-    schema = _arrow(_STATE)
+def _longer(table: DataFrame, answers: DataFrame, ranges: int) -> DataFrame:
+    """The table one word on: where frequent elements stand at neighbouring places, each pair of them is an element."""
+    schema = _arrow(_TABLE)
 
     def step(own: pa.Table, said: pa.Table) -> pa.Table:
         out = []
         for row in own.to_pylist() if len(said) else []:
-            part = _elements(row, ranges)[3]
-            number = np.full(len(part), -1, np.int64)
-            for p, n in zip(said["part"].to_pylist(), said["numbers"].to_pylist(), strict=True):
-                number[part == p] = np.frombuffer(n, np.int64)
-            at, element = np.frombuffer(row["at"], np.int32), np.frombuffer(row["element"], np.int32).astype(np.int64)
+            parts = _values(row["parts"], np.int64)
+            begin = dict(zip(parts[: len(parts) // 2].tolist(), parts[len(parts) // 2 :].tolist(), strict=False))
+            number = np.full(int(parts[-1]), -1, np.int64)
+            for p, hits, n in zip(*(said[c].to_pylist() for c in ("part", "hits", "numbers")), strict=True):
+                number[begin[p] + _risen(hits, np.int32)] = _values(n, np.int64)
+            at, element = _risen(row["at"], np.int32), _values(row["element"], np.int32).astype(np.int64)
             kept = number[element] >= 0
             at, element = at[kept], element[kept]
             near = np.flatnonzero(at[1:] == at[:-1] + 1)
             if not len(near):
                 continue
             pairs, back, counts = np.unique(element[near] * len(number) + element[near + 1], return_inverse=True, return_counts=True)
-            out.append({
-                "block": row["block"], "lang": row["lang"], "n": None, "words": [], "prefix": _bytes(number[pairs // len(number)], np.int64),
-                "next": _bytes(number[pairs % len(number)], np.int64), "counts": _bytes(counts, np.int64),
-                "at": _bytes(at[near], np.int32), "element": _bytes(back, np.int32),
-            })
+            head = {"block": row["block"], "lang": row["lang"]}
+            out += _rows(head, None, number[pairs // len(number)], number[pairs % len(number)], counts, at[near], back, ranges)
         frames.trim()
         return pa.Table.from_pylist(out, schema)
 
-    return state.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(step, _STATE)
+    state = table.filter("part IS NULL").select("block", "lang", "at", "element", "parts")
+    return state.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(step, _TABLE)
 
 
 def _named(level: DataFrame, below: DataFrame | None) -> DataFrame:
@@ -257,16 +260,21 @@ def phrases(docs: DataFrame, text: str = "text", lang: str = "lang", least: int
     spark = docs.sparkSession
     frames.ready(spark)
     ranges = frames.width(spark)
-    state = frames.written(blocks(docs, text, lang))
-    n = state.groupBy("lang").agg(F.sum("n").alias("n"))
+    folder = new_folder(spark)
+    table = frames.written(blocks(docs, text, lang, ranges), folder)
+    n = frames.written(table.groupBy("lang").agg(F.sum("n").alias("n")))
     levels: list[DataFrame] = []
     for k in range(1, longest + 1):
-        done = frames.written(merged(_sent(state, ranges), least))
+        done = frames.written(merged(table, least), f"{folder}-merged")
         found = done.filter("id IS NOT NULL")
         levels.append(frames.written(_named(found, levels[-1] if levels else None)))
+        used = [folder, f"{folder}-merged"]
         if k < longest:
-            answers = done.filter("block IS NOT NULL").select("block", "part", "numbers")
-            state = frames.written(_longer(state, answers, ranges))
+            answers = done.filter("block IS NOT NULL").select("block", "part", "hits", "numbers")
+            folder = new_folder(spark)
+            table = frames.written(_longer(table, answers, ranges), folder)
+        for f in used:
+            frames.removed(spark, f)
     out = []
     for k, level in enumerate(levels, 1):
         more = levels[k] if k < longest else level.limit(0)

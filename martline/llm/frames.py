@@ -41,14 +41,20 @@ def width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def written(df: DataFrame) -> DataFrame:
+def written(df: DataFrame, folder: str | None = None) -> DataFrame:
     """The rows of ``df`` from a table in the shared folder: cuts the lineage and survives lost executors."""
     spark = df.sparkSession
-    folder = new_folder(spark)
+    folder = folder or new_folder(spark)
     df.write.parquet(folder, compression="zstd")
     return spark.read.schema(df.schema).parquet(folder)
 
 
+def removed(spark: SparkSession, folder: str) -> None:
+    """Delete a table that nothing reads any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
