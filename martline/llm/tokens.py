@@ -28,11 +28,13 @@ class TextEncoder:
 
     Where the file's ids rise in the order of its merges, merging by lowest id is merging by rank, and texts of Latin
     letters, digits, signs and plain white space go through tiktoken with the file's own vocabulary, at a fraction of the
-    time. All other texts, and those that may hold a special token, go through tokenizers.
+    time. All other texts, those with long runs of white space and those that may hold a special token go through tokenizers.
     """
 
     _HELD: dict[str, TextEncoder] = {}
     _OTHER = re.compile(r"[^\t\n\r\x20-\x7e\xa1-ɏ]")
+    #: A long run of white space, looked for from its beginning only: tiktoken's pattern overflows its stack on longer ones.
+    _GAP = re.compile(r"(?<![\t\n\r ])[\t\n\r ]{4096}")
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
@@ -69,7 +71,7 @@ class TextEncoder:
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         """Ids of each text."""
         for text in texts:
-            if self.fast is None or self._OTHER.search(text) or any(s in text for s in self.special):
+            if self.fast is None or self._OTHER.search(text) or self._GAP.search(text) or any(s in text for s in self.special):
                 ids = self.tokenizer.encode(text, add_special_tokens=False).ids
             else:
                 ids = self.fast.encode_ordinary(text)

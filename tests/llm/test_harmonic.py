@@ -75,3 +75,10 @@ def test_pack(spark, library):
             assert ids == [*library.encode(t or "", add_special_tokens=False).ids, 1] and {n for *_, n in pieces[k]} == {len(ids)}
     assert len([p for p in pieces[5] if p[0] == 0]) == 3 and pieces[None]
     assert pack(docs.limit(0), FILE).collect() == []
+
+
+@pytest.mark.parametrize("gap", [" ", "\n", "\t", " \n"])
+def test_millions_of_blanks(library, gap):
+    texts = ["x" + gap * (2_000_000 // len(gap)) + "y", "x" + gap * 2047 + "y"]
+    for text, ids in zip(texts, TextEncoder.of(FILE).encode(texts), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
