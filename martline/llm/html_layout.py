@@ -263,6 +263,10 @@ class Flow:
         return lines
 
 
+#: Characters of a cell that is aligned with others, and of a table whose columns are: no more blanks than that begin a line.
+WIDE_CELL, WIDE_TABLE = 80, 240
+
+
 class Grid:
     """Cells of a table under way: rows of (first column, columns, lines)."""
 
@@ -291,28 +295,50 @@ class Grid:
             self.below.update(dict.fromkeys(range(at, at + columns), down))
 
     def laid_out(self) -> list[str]:
+        """Lines of the table. Cells wider than ``WIDE_CELL`` stand on lines of their own; a table wider than ``WIDE_TABLE`` is not aligned."""
         rows = [r for r in self.rows if any(lines for _, _, lines in r)]
         width: dict[int, int] = {}
         for spans in (False, True):  # cells of one column set the widths, wider ones stretch their last column
             for at, n, lines in (c for r in rows for c in r):
-                if (n > 1) == spans:
+                if (n > 1) == spans and not _wide(lines):
                     need = max(map(len, lines), default=0) - sum(width.get(c, 0) + 2 for c in range(at, at + n - 1))
                     width[at + n - 1] = max(width.get(at + n - 1, 0), need)
         left, edge = {}, 0
         for c in range(max(width, default=-1) + 1):
             left[c] = edge
             edge += width.get(c, 0) + 2 if width.get(c, 0) else 0
-        out = []
+        if edge > WIDE_TABLE:
+            left = dict.fromkeys(left, 0)
+        out: list[str] = []
         for r in rows:
-            for k in range(max(len(lines) for _, _, lines in r)):
-                line = ""
-                for at, _, lines in r:
-                    if k < len(lines) and lines[k]:
-                        line = line.ljust(left[at]) + lines[k] if len(line) <= left[at] else line + "  " + lines[k]
-                out.append(line)
+            beside: list[tuple[int, list[str]]] = []
+            for at, _, lines in r:
+                if _wide(lines):
+                    out += _side_by_side(beside, left)
+                    out += lines
+                    beside = []
+                else:
+                    beside.append((at, lines))
+            out += _side_by_side(beside, left)
         return out
 
 
+def _wide(lines: list[str]) -> bool:
+    return any(len(x) > WIDE_CELL for x in lines)
+
+
+def _side_by_side(cells: list[tuple[int, list[str]]], left: dict[int, int]) -> list[str]:
+    """Lines of neighbouring cells, each cell from the edge of its column on."""
+    out = []
+    for k in range(max((len(lines) for _, lines in cells), default=0)):
+        line = ""
+        for at, lines in cells:
+            if k < len(lines) and lines[k]:
+                line = line.ljust(left[at]) + lines[k] if len(line) <= left[at] else line + "  " + lines[k]
+        out.append(line)
+    return out
+
+
 _OPEN, _SHUT = 0, 1
 
 

@@ -76,3 +76,16 @@ def test_frame(spark):
 ])
 def test_whole_visible_text(page, text):
     assert visible_text(page) == text or (text is None and visible_text(page).endswith("x"))
+
+
+@pytest.mark.parametrize("cell", ["w" * 100_000, "<br>".join(["w" * 70] * 1000), "<table><tr><td>" + "w " * 2000 + "</table>"])
+def test_wide_cells_do_not_blow_up_a_table(cell):
+    page = f"<table><tr><td>{cell}<td>x" + "<tr><td>a<td>b" * 1000 + "</table>"
+    text = visible_text(page)
+    assert len(text) < 2 * len(page) and sorted("".join(re.sub("<[^>]*>", "", page).split())) == sorted("".join(text.split()))
+
+
+def test_columns_far_to_the_right():
+    page = "<table>" + "<tr>" + f"<td>{'w' * 60}" * 50 + "<tr><td colspan=1000><td>z" * 500 + "</table>"
+    text = visible_text(page)
+    assert len(text) < 2 * len(page) and text.count("z") == 500
