@@ -6,12 +6,14 @@ and a document left with less than ``min_left`` of its words is rejected.
 
 Exact and near copies count as one document, else the copies of a good text would all be rejected, the first one too.
 They are told by what else a document has: its other lines that stand, as they are, in at most ``max_documents`` different
-texts of the host. Boilerplate has no part in that, however much of the page it is. Of these lines' windows of three words,
-``SKETCHES`` least hashes are taken. Documents with the line that share one are taken for copies, and each counts as one
-part of the largest such group that it is in; groups are not linked on, so texts that share a phrase do not run together in
-a large host. Documents that have less than ``MIN_OWN`` of their words in such lines, as copies with a few words changed,
-are one group. Counting combines before each shuffle, so a host or a line with a third of all rows costs one row per task
-and text.
+texts of the host, and are no slight changes of lines that stand in more. Boilerplate has no part in that, however much of
+the page it is: a page with two words of its own is as much a document as one with many. Of these lines' windows of three
+words, ``SKETCHES`` least hashes are taken. Documents with the line that share one are taken for copies, and each counts as
+one part of the largest such group that it is in; groups are not linked on, so texts that share a phrase do not run together
+in a large host. Documents that have no such lines, as copies with a few words changed, are one group. A line counts as
+changed from a more frequent one if it shares one of its least hashes. Counting combines before each shuffle, so a host or
+a line with a third of all rows costs one row per task and text; a document's lines are never copied for each of its
+frequent lines.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,8 +34,8 @@ SYMBOLS = b"#*$%&|<>"
 MIN_WORDS, MAX_REPEAT_PERCENT, REPEAT_WINDOW = 50, 50, 3
 #: Documents of a host that a line may be in, and the share of its words that a document must keep.
 MAX_DOCUMENTS, MIN_LEFT = 20, 0.3
-#: Least hashes of a document's own lines, and the share of its words that they hold at least in a document of its own.
-SKETCHES, MIN_OWN = 4, 0.08
+#: Least hashes of a line, and of a document's own lines.
+SKETCHES = 8
 
 _NORMAL = bytes(c + 32 if 65 <= c <= 90 else 48 if 48 <= c <= 57 else c for c in range(256))
 _NEW_LINE = 10
@@ -85,7 +87,7 @@ def _per_text(flags: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 _BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 #: Columns that this operator adds.
-MADE = (*_BASE, "n_removed_words", "base_failed", "kept")
+MADE = (*_BASE, "n_removed_words", "removed_lines", "base_failed", "kept")
 _LINE = T.ArrayType(T.StructType([T.StructField(c, T.LongType()) for c in ("line", "exact", "n", *_KEYS)]))
 
 
@@ -152,7 +154,26 @@ def _at(many: DataFrame, few: DataFrame, column: str) -> DataFrame:
     return many.join(few, there, "left").withColumn("among", F.col("its value").isNotNull()).drop("its host", "its value")
 
 
-def _documents(lined: DataFrame, max_documents: int, min_own: float) -> DataFrame:
+def _own(docs: DataFrame, known: DataFrame) -> DataFrame:
+    """``docs`` with ``least`` and ``other`` instead of ``own``: per key the least hash of the own lines with its line, and the
+    least one of the other lines. Lines that share a key with a frequent line (``known``) are left out: they are changed from it."""
+    each = docs.select("at", "host", F.posexplode("own").alias("i", "x"))
+    keyed = each.select("at", "host", "i", F.posexplode(F.array(*[F.col("x")[k] for k in _KEYS])).alias("k", "key"))
+    changed = keyed.alias("a").join(known.alias("b"), F.expr("a.k = b.k AND a.key = b.key AND a.host <=> b.host"), "left_semi").select("at", "i").distinct()
+    left = each.join(changed, ["at", "i"], "left_anti").groupBy("at").agg(F.collect_list("x").alias("own"))
+    both = docs.drop("own").join(left, "at", "left")
+
+    def pairs(k: str) -> Column:
+        return F.transform("own", lambda x: F.struct(x[k].alias("key"), x["line"].alias("line")))
+
+    def apart(k: str) -> Column:
+        return F.filter(pairs(k), lambda p: p["line"] != F.col(f"least {k}")["line"])
+
+    both = both.withColumns({f"least {k}": F.array_min(pairs(k)) for k in _KEYS})
+    return both.withColumns({f"other {k}": F.array_min(apart(k)) for k in _KEYS}).drop("own")
+
+
+def _documents(lined: DataFrame, max_documents: int) -> DataFrame:
     """``host, line, n``: the distinct documents of the lines that are in more than ``max_documents`` different texts."""
 
     def often(some: DataFrame, column: str) -> DataFrame:
@@ -163,13 +184,14 @@ def _documents(lined: DataFrame, max_documents: int, min_own: float) -> DataFram
     found = _at(lines, often(lines, "line"), "line")
     found = _at(found.withColumnRenamed("among", "held"), often(found.filter("among"), "exact"), "exact")
     docs = found.groupBy("at", "host").agg(
-        F.sum("n").alias("n"), F.collect_set(F.when(F.col("held"), F.col("line"))).alias("held"),
-        F.collect_list(F.when(~F.col("among"), F.struct("line", "n", *_KEYS))).alias("own"),
+        F.collect_set(F.when(F.col("held"), F.col("line"))).alias("held"),
+        F.collect_list(F.when(~F.col("among"), F.struct("line", *_KEYS))).alias("own"),
     )
-    docs = docs.filter(F.size("held") > 0).select("host", "n", "own", F.explode("held").alias("line"))
-    docs = docs.withColumn("own", F.filter("own", lambda x: x["line"] != F.col("line")))
-    enough = F.aggregate("own", F.lit(0).cast("long"), lambda s, x: s + x["n"]) >= min_own * F.col("n")
-    keys = [F.when(enough, F.array_min(F.col("own")[k])).alias(k) for k in _KEYS]
+    docs = frames.written(docs.filter(F.size("held") > 0))
+    known = found.filter("among").select("host", *_KEYS).distinct()
+    known = frames.written(known.select("host", F.posexplode(F.array(*_KEYS)).alias("k", "key")).distinct())
+    docs = _own(docs, known).withColumn("line", F.explode("held"))
+    keys = [F.when(F.col(f"least {k}")["line"] != F.col("line"), F.col(f"least {k}")["key"]).otherwise(F.col(f"other {k}")["key"]).alias(k) for k in _KEYS]
     alike = frames.written(docs.select("host", "line", *keys).groupBy("host", "line", *_KEYS).agg(F.count("*").alias("rows")))
 
     keyed = alike.filter(F.col(_KEYS[0]).isNotNull()).select("*", F.posexplode(F.array(*_KEYS)).alias("k", "key"))
@@ -181,13 +203,14 @@ def _documents(lined: DataFrame, max_documents: int, min_own: float) -> DataFram
     return parts.groupBy("host", "line").agg(F.round(F.sum("part"), 6).alias("n"))  # whole groups add up to 1 but for rounding
 
 
-def frequent_lines(lined: DataFrame, max_documents: int = MAX_DOCUMENTS, min_own: float = MIN_OWN) -> DataFrame:
+def frequent_lines(lined: DataFrame, max_documents: int = MAX_DOCUMENTS) -> DataFrame:
     """``host, line`` of the lines in more than ``max_documents`` distinct documents, in a host of any size."""
-    return _documents(lined, max_documents, min_own).filter(F.col("n") > max_documents).select("host", "line")
+    return _documents(lined, max_documents).filter(F.col("n") > max_documents).select("host", "line")
 
 
 def judged(docs: DataFrame, text: str = "text", host: str = "source", max_documents: int = MAX_DOCUMENTS, min_left: float = MIN_LEFT, carry: Sequence[str] | None = None) -> DataFrame:
-    """``docs`` (of it the columns ``carry``, if given) with the base counts, ``n_removed_words`` (in frequent lines), ``base_failed`` and ``kept``.
+    """``docs`` (of it the columns ``carry``, if given) with the base counts, ``n_removed_words`` (in frequent lines), ``removed_lines``
+    (their hashes), ``base_failed`` and ``kept``.
 
     Null and empty texts have no words, so they fail the base rules. A null host is a host of its own. Repeated rows are
     each judged; they count as one document. Columns of these names in ``docs`` are replaced.
@@ -197,13 +220,34 @@ def judged(docs: DataFrame, text: str = "text", host: str = "source", max_docume
     often = frequent_lines(lined, max_documents)
     lines = lined.select("at", "host", F.explode("lines").alias("x")).select("at", "host", "x.line", "x.n")
     hit = lines.alias("a").join(often.alias("b"), F.expr("a.line = b.line AND a.host <=> b.host"), "left_semi")
-    lost = hit.groupBy("at").agg(F.sum("n").alias("lost"))
+    lost = hit.groupBy("at").agg(F.sum("n").alias("lost"), F.collect_set("line").alias("removed_lines"))
     all_ = lined.join(lost, "at", "left").withColumn("n_removed_words", F.coalesce("lost", F.lit(0).cast("long")))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     kept = ~failed & (F.col("n_words") - F.col("n_removed_words") >= min_left * F.col("n_words"))
     return frames.unpacked(all_.withColumn("base_failed", failed).withColumn("kept", kept), columns, *MADE)
 
 
+def _cleared(text: str | None, lines: list[int]) -> str:
+    gone = set(lines)
+    return "\n".join(x for x in (text or "").split("\n") if not (b := x.encode()).split() or line_hash(b) not in gone)
+
+
+def cleared(docs: DataFrame, text: str = "text") -> DataFrame:
+    """Judged ``docs`` whose text has lost its frequent lines; texts without any stay as they are. ``removed_lines`` goes."""
+    columns = [c for c in docs.columns if c != "removed_lines"]
+    some = F.coalesce(F.size("removed_lines") > 0, F.lit(False))
+    dealt = frames.packed(docs.filter(some), text=F.col(f"`{text}`"), lines=F.col("removed_lines"))
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            new = [_cleared(t.as_py(), lines.as_py()) for t, lines in zip(b.column("text"), b.column("lines"), strict=True)]
+            yield pa.RecordBatch.from_arrays([b.column("row"), pa.array(new, pa.string())], ["row", text])
+
+    schema = T.StructType([dealt.schema["row"], T.StructField(text, T.StringType())])
+    done = frames.unpacked(dealt.mapInArrow(frames.per_task(each), schema), columns, text)
+    return docs.filter(~some).select(*[F.col(f"`{c}`") for c in columns]).union(done.select(*[F.col(f"`{c}`") for c in columns]))
+
+
 def _numbered(df: DataFrame) -> DataFrame:
     """A number for each row, unique and fixed once the table is written: ids may be null or repeat."""
     return df.withColumn("at", F.monotonically_increasing_id())

@@ -5,7 +5,7 @@ from collections import Counter
 
 import pytest
 
-from martline.llm.line_quality import judged, line_hash, normalised
+from martline.llm.line_quality import cleared, judged, line_hash, normalised
 
 LETTERS = str.maketrans("0123456789", "abcdefghij")
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -96,3 +96,40 @@ def test_verdict_does_not_depend_on_the_size_of_the_host(spark):
     rows += [(100 + k, " ".join(f"e{k}w{i}" for i in range(55)), "h") for k in range(2600)]
     got = judged(spark.createDataFrame(rows, "doc_id long, text string, source string")).filter("doc_id < 100").collect()
     assert len(got) == 25 and all(r["n_removed_words"] == 20 for r in got)
+
+
+@pytest.mark.parametrize("own", [(30,), (8,), (2,), (30, 8, 2, 0)])
+def test_pages_of_one_template_are_judged_alike(spark, own):
+    def drawn(k, n):
+        return [f"{k}{i}".translate(LETTERS) for i in range(n)]
+
+    shared = "\n".join(" ".join(drawn(f"s{i}x", 12)) for i in range(10))
+    rows = [(1000 * n + k, f"{shared}\n{' '.join(drawn(f'p{k}x{n}y', n))}", "h") for n in own for k in range(200)]
+    good = "\n".join(" ".join(drawn(f"g{i}x", 15)) for i in range(12))
+    rows += [(-1 - k, good, "h") for k in range(300)]  # copies of a good text
+    got = judged(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    assert len(got) == len(rows)
+    assert all(r["kept"] == (r["doc_id"] < 0) and r["n_removed_words"] == (0 if r["doc_id"] < 0 else 120) for r in got)
+
+
+def test_long_documents_of_frequent_and_own_lines(spark):
+    rng = "abcdefghij"
+
+    def lines(name):
+        return "\n".join(f"{name} {name}{str(k).translate(LETTERS)} {name}{str(k * 7).translate(LETTERS)}x" for k in range(4000))
+
+    shared = lines("common")
+    rows = [(d, f"{shared}\n{lines('own' + rng[d % 10] + rng[d // 10])}", "h") for d in range(25)]
+    got = judged(spark.createDataFrame(rows, "doc_id long, text string, source string"), carry=["doc_id"]).collect()
+    common = len(shared.split())
+    assert len(got) == 25 and all(r["n_removed_words"] >= common for r in got)
+
+
+def test_cleared_texts(spark):
+    line = "A line of the template 7"
+    rows = [(k, f"{line}\n\n {' '.join(f'd{k}w{i}' for i in range(55))}\n{line.lower()} ", "h", "x") for k in range(25)] + [(100, None, "h", "y")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, removed_lines string")
+    done = cleared(judged(docs, carry=["doc_id", "text", "source"]).select("doc_id", "text", "source", "removed_lines"))
+    assert done.columns == ["doc_id", "text", "source"]
+    got = {r["doc_id"]: r["text"] for r in done.collect()}
+    assert got == {100: None} | {k: f"\n {' '.join(f'd{k}w{i}' for i in range(55))}" for k in range(25)}
