@@ -233,19 +233,20 @@ def _cleared(text: str | None, lines: list[int]) -> str:
 
 
 def cleared(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Judged ``docs`` whose text has lost its frequent lines; texts without any stay as they are. ``removed_lines`` goes."""
-    columns = [c for c in docs.columns if c != "removed_lines"]
-    some = F.coalesce(F.size("removed_lines") > 0, F.lit(False))
-    dealt = frames.packed(docs.filter(some), text=F.col(f"`{text}`"), lines=F.col("removed_lines"))
+    """Judged ``docs`` whose text has lost its ``removed_lines``; texts without any stay as they are."""
+    dealt = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text]).alias("row"), F.col(f"`{text}`").alias("text"), F.col("removed_lines").alias("lines"))
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            new = [_cleared(t.as_py(), lines.as_py()) for t, lines in zip(b.column("text"), b.column("lines"), strict=True)]
-            yield pa.RecordBatch.from_arrays([b.column("row"), pa.array(new, pa.string())], ["row", text])
-
-    schema = T.StructType([dealt.schema["row"], T.StructField(text, T.StringType())])
-    done = frames.unpacked(dealt.mapInArrow(frames.per_task(each), schema), columns, text)
-    return docs.filter(~some).select(*[F.col(f"`{c}`") for c in columns]).union(done.select(*[F.col(f"`{c}`") for c in columns]))
+            texts = b.column("text")
+            if b.column("lines").null_count < len(b):
+                both = zip(texts, b.column("lines"), strict=True)
+                texts = pa.array([_cleared(t.as_py(), lines.as_py()) if lines.is_valid else t.as_py() for t, lines in both], pa.string())
+            yield pa.RecordBatch.from_arrays([b.column("row"), texts], ["row", "text"])
+
+    schema = T.StructType([dealt.schema["row"], T.StructField("text", T.StringType())])
+    done = dealt.mapInArrow(frames.per_task(each), schema)
+    return done.select(*[F.col("text").alias(text) if c == text else F.col("row")[c].alias(c) for c in docs.columns])
 
 
 def _numbered(df: DataFrame) -> DataFrame:

@@ -130,6 +130,6 @@ def test_cleared_texts(spark):
     rows = [(k, f"{line}\n\n {' '.join(f'd{k}w{i}' for i in range(55))}\n{line.lower()} ", "h", "x") for k in range(25)] + [(100, None, "h", "y")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string, removed_lines string")
     done = cleared(judged(docs, carry=["doc_id", "text", "source"]).select("doc_id", "text", "source", "removed_lines"))
-    assert done.columns == ["doc_id", "text", "source"]
+    assert done.columns == ["doc_id", "text", "source", "removed_lines"]
     got = {r["doc_id"]: r["text"] for r in done.collect()}
     assert got == {100: None} | {k: f"\n {' '.join(f'd{k}w{i}' for i in range(55))}" for k in range(25)}
