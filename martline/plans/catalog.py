@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from martline.functions import changefeed
 from martline.functions.dates import shift, window_start
 from martline.operators import dims, facts, reports, rollups, scd2, sinks
+from martline.plans import streams
 from martline.plans.scratch import new_folder
 from martline.plans.standins import EVENT_DAY, ORDER_DAY, Standins
 from martline.sources import files, schemas
@@ -151,6 +152,11 @@ def _(t: Standins) -> DataFrame:
     return _flat_log(files.read_log_json(t.spark, out, None))
 
 
+@_query("s7_tail_growing_files")
+def _(t: Standins) -> DataFrame:
+    return _flat_log(streams.growing_files(t))
+
+
 @_query("s9_bootstrap_vs_incremental")
 def _(t: Standins) -> DataFrame:
     feed = t.favor_feed().unionByName(
@@ -786,3 +792,9 @@ def _(t: Standins) -> DataFrame:
 @_query("p22_monthly_traffic")
 def _(t: Standins) -> DataFrame:
     return reports.monthly_traffic(_sessions(t), ED)
+
+
+# Streams
+
+for _name, _build in streams.QUERIES.items():
+    _query(_name)(_build)

@@ -119,6 +119,7 @@ _FLAT_LOG = """
 _oracle("s1_read_log_json", "log", _FLAT_LOG)
 _oracle("s4_load_partition", "log", f"{_FLAT_LOG} where dt = {ED}")
 _oracle("s7_tail_files_stream", "log", _FLAT_LOG)
+_oracle("s7_tail_growing_files", "log", _FLAT_LOG)
 _oracle("s2_read_snapshot_tsv", "", f"""
     select {_v('p_partkey')} as id, {_v('p_size')} as spu_id, {_m('p_retailprice')} as price, p_name as sku_name,
         {_m('p_size')} as weight, p_brand as tm_id, p_type || '-' || p_size as category3_id,
@@ -301,12 +302,12 @@ _oracle("f4_fact_cart_snapshot", "", f"""
     where o_orderstatus = 'O'""")
 
 
-def _flow(daily: bool) -> str:
-    """Milestones known after the run: all of them on the first day, those up to the day otherwise."""
+def _flow(daily: bool, stream: bool = False) -> str:
+    """Milestones known after the run: all of them on the first day and from a stream, those up to the day otherwise."""
     known = f"{_DAY.format('{}')} <= {OD}"
     paid = "o_orderstatus in ('F', 'P')" + (f" and {known.format(_PAID_AT)}" if daily else "")
     done = "o_orderstatus = 'F'" + (f" and {known.format(_DONE)}" if daily else "")
-    activity = "cast(null as decimal(16,2))" if daily else _m("0")
+    activity = "cast(null as decimal(16,2))" if daily or stream else _m("0")
     rows = f"""
         select {_v('o_orderkey')} as order_id, {_v('o_custkey')} as user_id, {_v('c_nationkey')} as province_id,
             {_DAY.format('o_orderdate')} as order_date_id, {_TIME.format('o_orderdate')} as order_time,
@@ -327,6 +328,7 @@ def _flow(daily: bool) -> str:
 _oracle("f5_fact_trade_flow", "", _flow(True))
 _oracle("f5_fact_trade_flow_repeated_inserts", "", _flow(True))
 _oracle("f5_fact_trade_flow_first_day", "", _flow(False))
+_oracle("t3_order_flow_stream", "", _flow(False, stream=True))
 _USED = f"""
     select {_LINE} as id, {_COUPON} as coupon_id, {_v('o_custkey')} as user_id, {_v('l_orderkey')} as order_id,
         {_DAY.format('o_orderdate')} as date_id, {_TIME.format('o_orderdate')} as payment_time,
@@ -500,6 +502,18 @@ def _traffic(windows: str) -> str:
         from sessions join {windows} on dt >= first group by recent_days, channel"""
 
 
+_oracle("t1_first_of_key_stream", "ev", """
+    select day, event_type, count(*) as n from ev group by 1, 2
+    union all
+    select 'late', 'late', count(*) from ev where ms < (select min(ms) from ev) + 3600000""")
+_oracle("t2_channel_traffic_stream", "sessions", f"""
+    select dt, channel, count(distinct mid_id) as uv_count, {_b('sum(stay) // (1000 * count(*))')} as avg_duration_sec,
+        {_b('sum(pages) // count(*)')} as avg_page_count, count(distinct session_id) as sv_count,
+        {_m('(200 * count(*) filter (pages = 1) + count(distinct session_id)) // (2 * count(distinct session_id)) * cast(0.01 as decimal(3,2))')}
+        as bounce_rate
+    from sessions
+    where epoch_ms(cast(dt as timestamp)) + 86400000 <= (select max(epoch_us(ts) // 1000) from events) - 3600000
+    group by dt, channel""")
 _oracle("p1_traffic_by_channel", "sessions", _traffic(_days(EVENT_DAY)))
 _oracle("p21_weekly_traffic", "sessions", _traffic(_days(EVENT_DAY, (7,))))
 _oracle("p22_monthly_traffic", "sessions", _traffic(
