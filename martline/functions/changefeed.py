@@ -30,13 +30,27 @@ def field_changed(feed: DataFrame, column: str) -> DataFrame:
     return feed.where(changed(column))
 
 
+def position(feed: DataFrame) -> list[Column]:
+    """What orders the changes of a key: the second, then the transaction and the place in it where the feed has them.
+
+    A transaction's last change carries ``commit`` instead of a place.
+    """
+    place = [F.col("ts")]
+    if "xid" in feed.columns:
+        place.append(F.col("xid"))
+    if "xoffset" in feed.columns:
+        last = F.lit(2**63 - 1).cast("bigint")
+        place.append(F.when(F.col("commit"), last).otherwise(F.col("xoffset")).alias("xoffset") if "commit" in feed.columns else F.col("xoffset"))
+    return place
+
+
 def latest_change(feed: DataFrame, key: str = "id") -> DataFrame:
-    """Last ``data`` per key of the rows given; equal times are settled by the data itself.
+    """Last ``data`` per key of the rows given, by their position; equal positions are settled by the data itself.
 
     A grouped maximum combines on the map side, so a key that changes very often never gathers in one task the way
     a ranked window would.
     """
-    newest = F.max(F.struct("ts", "data")).alias("newest")
+    newest = F.max(F.struct(*position(feed), "data")).alias("newest")
     return (
         feed.groupBy(F.col("data")[key].alias("_key"))
         .agg(newest)

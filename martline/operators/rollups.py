@@ -231,3 +231,59 @@ def _describe(
         dim = on_day(dim, dim_day)
     about = dim.select(F.col("id").alias(key), *attributes)
     return rows.join(about, key, "left")
+
+
+# Moving totals: a window's sums from yesterday's sums, the day that enters and the day that leaves.
+
+
+def _counted(rows: DataFrame, keys: Sequence[str], measures: Sequence[str], sign: int) -> DataFrame:
+    """One-day rows as changes of a moving total: each measure, how often it is known, and the rows."""
+    known = [F.when(F.col(m).isNotNull(), F.lit(sign)).otherwise(F.lit(0)).cast("bigint").alias(f"n_{m}") for m in measures]
+    values = [(F.coalesce(F.col(m), F.lit(0)) * F.lit(sign)).cast(_wide(rows, m)).alias(m) for m in measures]
+    return rows.select(*keys, *values, *known, F.lit(sign).cast("bigint").alias("n_rows"))
+
+
+def _wide(rows: DataFrame, measure: str) -> str:
+    kind = dict(rows.dtypes)[measure]
+    return "decimal(38,2)" if kind.startswith("decimal") else kind
+
+
+def _summed(changes: DataFrame, keys: Sequence[str], measures: Sequence[str]) -> DataFrame:
+    sums = [F.sum(m).cast(dict(changes.dtypes)[m]).alias(m) for m in (*measures, *(f"n_{m}" for m in measures), "n_rows")]
+    return changes.groupBy(*keys).agg(*sums).where("n_rows <> 0")
+
+
+def moving_start(one_day: DataFrame, day: str, keys: Sequence[str], measures: Sequence[str], length: int) -> DataFrame:
+    """State of a moving total after ``day`` from one scan of its window, for the first run or to begin anew."""
+    rows = in_days(one_day, window_start(day, length), day)
+    return _summed(_counted(rows, keys, measures, 1), keys, measures)
+
+
+def moving_next(state: DataFrame, entering: DataFrame, leaving: DataFrame, keys: Sequence[str], measures: Sequence[str]) -> DataFrame:
+    """The state one day on: reads two days of rows and the state, however long the window is.
+
+    ``state`` is yesterday's, ``entering`` today's one-day rows, ``leaving`` those of the day that is out of the window from
+    today on, both as stored when they were added. Sums are exact (whole numbers and decimals only). A key whose last row
+    leaves is gone, one whose values are all missing stays without a sum; ``n_rows`` and ``n_<measure>`` count for that.
+    """
+    for m in measures:
+        if not dict(entering.dtypes)[m].startswith(("decimal", "bigint", "int")):
+            raise TypeError(f"{m} cannot be subtracted exactly")
+    changes = state.unionByName(_counted(entering, keys, measures, 1)).unionByName(_counted(leaving, keys, measures, -1))
+    return _summed(changes, keys, measures)
+
+
+def moving_corrected(state: DataFrame, before: DataFrame, after: DataFrame, keys: Sequence[str], measures: Sequence[str]) -> DataFrame:
+    """The state when a day inside its window is replaced: what the day held goes, what it holds now comes."""
+    return moving_next(state, after, before, keys, measures)
+
+
+def moving_rows(state: DataFrame, day: str, measures: Sequence[str], length: int) -> DataFrame:
+    """The table of a moving total, as :func:`rolling` gives it for one window."""
+    counts = {f"n_{m}" for m in measures} | {"n_rows"}
+    keys = [c for c in state.columns if c not in counts and c not in measures]
+    sums = []
+    for m in measures:
+        value = money(m) if dict(state.dtypes)[m].startswith("decimal") else F.col(m)
+        sums.append(F.when(F.col(f"n_{m}") > 0, value).alias(m.removesuffix("_1d") + f"_{length}d"))
+    return state.select(*keys, *sums, F.lit(day).alias("dt"))

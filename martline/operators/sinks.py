@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from collections.abc import Callable, Mapping
+
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -139,6 +142,29 @@ def check_none(df: DataFrame, what: str) -> None:
         raise FailedCheck(f"{what}: {found[0].asDict()}")
 
 
+def watched(df: DataFrame, what: str, must_not: Mapping[str, Column]) -> tuple[DataFrame, Callable[[], None]]:
+    """``df`` that counts the rows for which something holds that must not, as an action runs over it, and the check to call then.
+
+    The counts ride on the write; nothing is read a second time.
+    """
+    if not must_not:
+        return df, lambda: None
+    names = list(must_not)
+    seen = Observation()
+    counted = df.observe(seen, *[F.count_if(must_not[n]).alias(f"n{k}") for k, n in enumerate(names)])
+
+    def verify() -> None:
+        try:
+            found = seen.get
+        except Py4JJavaError:  # the plan was proved empty and counted nothing
+            found = {}
+        wrong = {n: found.get(f"n{k}", 0) for k, n in enumerate(names) if found.get(f"n{k}", 0)}
+        if wrong:
+            raise FailedCheck(f"{what}: " + ", ".join(f"{n} ({c})" for n, c in wrong.items()))
+
+    return counted, verify
+
+
 def repeated_keys(df: DataFrame, *keys: str) -> DataFrame:
     """Keys that more than one row has."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")

@@ -7,13 +7,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martline.functions import changefeed
 from martline.functions.dates import shift, window_start
-from martline.operators import dims, facts, reports, rollups, scd2, sinks
+from martline.operators import dims, facts, reports, rollups, scd2, sinks, sketches
 from martline.plans import streams
 from martline.plans.scratch import new_folder
 from martline.plans.standins import EVENT_DAY, ORDER_DAY, Standins
@@ -356,6 +356,12 @@ def _(t: Standins) -> DataFrame:
     return open_rows.unionByName(closed)
 
 
+@_query("d8b_scd2_merge_in_transactions")
+def _(t: Standins) -> DataFrame:
+    changes = scd2.scd2_changes(t.user_transactions(), ED, ["id", "name", "user_level"])
+    return scd2.scd2_merged(t.user_open(), changes, ED)
+
+
 @_query("d8c_scd2_current")
 def _(t: Standins) -> DataFrame:
     return scd2.scd2_current(_zipper(t)).select("id", "name", "user_level", "start_date")
@@ -499,6 +505,11 @@ def _(t: Standins) -> DataFrame:
     return changefeed.latest_change(t.user_feed()).select("ts", "data.*")
 
 
+@_query("f12_latest_change_in_transactions")
+def _(t: Standins) -> DataFrame:
+    return changefeed.latest_change(t.user_transactions()).select("ts", "data.*")
+
+
 @_query("f13_explode_actions")
 def _(t: Standins) -> DataFrame:
     return facts.explode_actions(t.log(), None, "UTC")
@@ -644,6 +655,34 @@ def _(t: Standins) -> DataFrame:
     )
 
 
+@_query("a14_moving_total")
+def _(t: Standins) -> DataFrame:
+    """The last of ten days, each made from the day before; one of the days in between is corrected afterwards."""
+    keys, measures, length = ["mid_id", "page_id"], ["during_time_1d", "view_count_1d"], 7
+    path = new_folder(t.spark)
+    sinks.overwrite_dynamic(rollups.visitor_page_view_1d(t.page_views(), None), path)
+    one_day = files.read_table(t.spark, path)
+    days = [shift(ED, k) for k in range(-9, 1)]
+    wrong = days[-4]
+    first = rollups.moving_start(one_day, days[0], keys, measures, length)
+    state = t.spark.read.schema(first.schema).parquet(_stored(first))
+    for day in days[1:]:
+        entering = one_day.where(F.col("dt") == day)
+        if day == wrong:  # this day was built from a third of its rows
+            entering = entering.where(F.pmod(F.xxhash64("mid_id"), F.lit(3)) == 0)
+        leaving = one_day.where(F.col("dt") == shift(day, -length))
+        state = t.spark.read.schema(state.schema).parquet(_stored(rollups.moving_next(state, entering, leaving, keys, measures)))
+    rows = one_day.where(F.col("dt") == wrong)
+    state = rollups.moving_corrected(state, rows.where(F.pmod(F.xxhash64("mid_id"), F.lit(3)) == 0), rows, keys, measures)
+    return rollups.moving_rows(state, ED, measures, length)
+
+
+def _stored(rows: DataFrame) -> str:
+    path = new_folder(rows.sparkSession)
+    rows.write.parquet(path)
+    return path
+
+
 @_query("a15_to_date")
 def _(t: Standins) -> DataFrame:
     one_day = rollups.user_cart_add_1d(t.cart_adds(), None).select(
@@ -668,6 +707,22 @@ def _(t: Standins) -> DataFrame:
     return reports.traffic_by_channel(_sessions(t), ED)
 
 
+@_query("p1_distinct_from_sketches")
+def _(t: Standins) -> DataFrame:
+    """Visitors and sessions per channel and window, and whether the sketches' counts lie within four standard errors."""
+    path, kept = new_folder(t.spark), ["mid_id", "session_id"]
+    sinks.overwrite_dynamic(sketches.daily_sketches(_sessions(t), None, ["channel"], kept), path)
+    near = sketches.distinct_in_windows(files.read_table(t.spark, path), ED, ["channel"], kept)
+    exact = reports.traffic_by_channel(_sessions(t), ED).select("dt", "recent_days", "channel", "uv_count", "sv_count")
+    bound = 4 * sketches.standard_error()
+
+    def close(estimate: str, count: str) -> Column:
+        return F.abs(F.col(estimate) - F.col(count)) <= F.ceil(F.col(count) * bound)
+
+    both = exact.join(near, ["dt", "recent_days", "channel"], "left")
+    return both.select("dt", "recent_days", "channel", "uv_count", "sv_count", close("mid_id_count", "uv_count").alias("uv_close"), close("session_id_count", "sv_count").alias("sv_close"))
+
+
 @_query("p2_page_path")
 def _(t: Standins) -> DataFrame:
     return reports.page_path(t.page_views(), ED)

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -39,7 +39,7 @@ class Warehouse:
         return files.read_table(self.spark, self.path(table))
 
     def feed(self, name: str) -> DataFrame:
-        return self._typed(f"ods_{name}_inc", schemas.envelope(schemas.FEED_DATA[name]))
+        return self._typed(f"ods_{name}_inc", schemas.envelope(schemas.FEED_DATA[name], position=True))
 
     def snapshot(self, name: str) -> DataFrame:
         return self._typed(f"ods_{name}_full", schemas.SNAPSHOTS[name])
@@ -52,13 +52,40 @@ class Warehouse:
         return files.read_table(self.spark, self.path(table), schema)
 
     def put(self, table: str, df: DataFrame, day: str, spread: bool = False) -> None:
-        """Store one day, or with ``spread`` every day that occurs in the rows."""
+        """Store one day, or with ``spread`` every day that occurs in the rows.
+
+        What must not occur in the table's rows is counted as they are written and ends the run.
+        """
+        counted, verify = sinks.watched(df, f"{table} on {day}", must_not(table, df.columns))
         if spread:
             # An empty run day first: it leaves the table readable even when no day has a row.
             sinks.overwrite_partition(df.where(F.lit(False)), self.path(table), day)
-            sinks.overwrite_dynamic(df, self.path(table))
+            sinks.overwrite_dynamic(counted, self.path(table))
         else:
-            sinks.overwrite_partition(df, self.path(table), day)
+            sinks.overwrite_partition(counted, self.path(table), day)
+        verify()
+
+
+#: Columns of a stored table that every row must fill. Times and amounts that could not be read are NULL.
+FILLED = {
+    "dwd_trade_cart_add_inc": ["date_id", "sku_num"],
+    "dwd_trade_order_detail_inc": ["order_id", "split_total_amount"],
+    "dwd_trade_pay_detail_suc_inc": ["date_id", "split_payment_amount"],
+    "dwd_tool_coupon_used_inc": ["date_id"],
+    "dwd_traffic_page_view_inc": ["view_time"],
+    "dwd_user_login_inc": ["login_time"],
+    "dws_trade_user_order_1d": ["order_total_amount_1d"],
+}
+
+
+def must_not(table: str, columns: Sequence[str]) -> dict[str, Column]:
+    """What must not hold for any row of a table, by what it says."""
+    rules = {f"rows without {c}": F.col(c).isNull() for c in FILLED.get(table, ())}
+    if {"order_user_count", "order_count"} <= set(columns):
+        rules["more buyers than orders"] = F.col("order_user_count") > F.col("order_count")
+    if {"retention_count", "new_user_count"} <= set(columns):
+        rules["more users retained than new"] = F.col("retention_count") > F.col("new_user_count")
+    return rules
 
 
 def run_day(w: Warehouse, landed: str, day: str, first_day: bool = False) -> None:
@@ -66,6 +93,7 @@ def run_day(w: Warehouse, landed: str, day: str, first_day: bool = False) -> Non
 
     Each layer is checked before the next one is built on it; a failed check ends the run with its reason.
     """
+    check_landed(w, landed)
     load_raw(w, landed, day)
     build_dimensions(w, day, first_day)
     check_dimensions(w, day)
@@ -97,7 +125,7 @@ def check_reports(w: Warehouse, day: str) -> None:
 
 
 def check_landed(w: Warehouse, landed: str) -> None:
-    """Landed rows without a readable time are in no day. For the operator to run; it reads all landed days."""
+    """Landed rows without a readable time are in no day. They have a folder of their own, so no other one is read."""
     rows = w.spark.read.schema("value string, dt string").text(f"{landed.rstrip('/')}/log")
     sinks.check_none(sinks.unreadable_rows(rows), "log rows without a readable time")
 
@@ -134,7 +162,7 @@ def load_raw(w: Warehouse, landed: str, day: str) -> None:
     landed = landed.rstrip("/")
     sinks.load_partition(files.read_log_json(w.spark, f"{landed}/log", day), w.path("ods_log_inc"), day)
     for name, data in schemas.FEED_DATA.items():
-        rows = files.read_change_feed(w.spark, f"{landed}/db", data, day, table=name)
+        rows = files.read_change_feed(w.spark, f"{landed}/db", data, day, table=name, position=True)
         sinks.load_partition(rows, w.path(f"ods_{name}_inc"), day)
     for name, schema in schemas.SNAPSHOTS.items():
         rows = files.read_snapshot_tsv(w.spark, f"{landed}/full/{name}_full", schema, day)
@@ -266,7 +294,9 @@ def build_reports(w: Warehouse, day: str) -> None:
         "ads_order_to_pay_interval_avg": reports.order_to_pay_interval_avg(flow, day),
     }
     for table, report in rows.items():
+        report, verify = sinks.watched(report, f"{table} on {day}", must_not(table, report.columns))
         sinks.accumulate_report(report, w.path(table), day)
+        verify()
 
 
 def run_week(w: Warehouse, day: str) -> None:

@@ -244,6 +244,11 @@ def _states(*days: str) -> str:
 _BOTH = _states(_back(EVENT_DAY, 1), ED)
 _oracle("d8b_scd2_merge", "zip_changes", f"""
     select id, name, user_level, start_date, end_date, end_date as dt from ({_states(ED)})""")
+_oracle("d8b_scd2_merge_in_transactions", "", f"""
+    select {_v('c_custkey')} as id, c_name as name, c_mktsegment as user_level, '2023-12-31' as start_date,
+        {_back(EVENT_DAY, 1)} as end_date, {_back(EVENT_DAY, 1)} as dt from customer
+    union all
+    select {_v('c_custkey')}, 'a third ' || c_custkey, 'a', {ED}, {_OPEN}, {_OPEN} from customer""")
 _oracle("d8c_scd2_current", "zip_changes", f"""
     select id, name, user_level, start_date from ({_BOTH}) where end_date = {_OPEN}""")
 _oracle("d8c_scd2_as_of", "zip_changes", f"""
@@ -366,6 +371,8 @@ _oracle("f11_field_changed", "cart_feed", f"""
 _oracle("f12_latest_change", "ev", """
     select ms as ts, usr as id, 'user ' || usr as name, 'L' || k as user_level from ev where event_type = 'signup'
     qualify row_number() over (partition by user_id order by ms desc, 'L' || k desc) = 1""")
+_oracle("f12_latest_change_in_transactions", "", f"""
+    select cast(1704067200 as bigint) as ts, {_v('c_custkey')} as id, 'a third ' || c_custkey as name, 'a' as user_level from customer""")
 _NTH = "(select unnest(generate_series(1, 2)) as i) on i <= k % 3"
 _oracle("f13_explode_actions", "log", f"""
     select mid_id, user_id, session_id, page_id, 'act' || i as action_id, {_v('k')} as item, 'sku_id' as item_type,
@@ -479,6 +486,9 @@ _oracle("a14_rolling", "views", "select mid_id, page_id, " + ", ".join(
     f"{_b(f'coalesce(sum(during_time) {f}, 0)')} as during_time_{n}d, count(*) {f} as view_count_{n}d"
     for n, f in ((n, f"filter (dt >= {_back(EVENT_DAY, n - 1)})") for n in (3, 7, 14, 30))
 ) + f", {ED} as dt from views group by mid_id, page_id")
+_oracle("a14_moving_total", "views", f"""
+    select mid_id, page_id, {_b('sum(during_time)')} as during_time_7d, count(*) as view_count_7d, {ED} as dt
+    from views where dt >= {_back(EVENT_DAY, 6)} and dt <= {ED} group by 1, 2""")
 _oracle("a15_to_date", "ev", f"""
     select usr as user_id, min(day) as first_day, max(day) as last_day, count(*) as cart_add_count_1d,
         {_b('sum(k)')} as cart_add_num_1d
@@ -519,6 +529,9 @@ _oracle("p21_weekly_traffic", "sessions", _traffic(_days(EVENT_DAY, (7,))))
 _oracle("p22_monthly_traffic", "sessions", _traffic(
     f"(select cast(30 as bigint) as recent_days, '{EVENT_DAY[:8]}01' as first)"
 ))
+_oracle("p1_distinct_from_sketches", "sessions", f"""
+    select dt, recent_days, channel, uv_count, sv_count, true as uv_close, true as sv_close
+    from ({_traffic(_days(EVENT_DAY))})""")
 _PATH = """
     select dt, source, target, count(*) as path_count
     from (

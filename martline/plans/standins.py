@@ -542,6 +542,21 @@ class Standins:
             F.col("day").alias("dt"),
         )
 
+    def user_transactions(self) -> DataFrame:
+        """Three changes of every customer in one second of the event day: two in a later transaction, whose last one has the smallest values."""
+        steps = F.explode(F.array(*[
+            F.struct(F.lit(name).alias("name"), F.lit(xid).cast("bigint").alias("xid"), F.lit(place).cast("bigint").alias("xoffset"), F.lit(last).alias("commit"))
+            for name, xid, place, last in (("z first", 5, None, True), ("y second", 7, 3, False), ("a third", 7, None, True))
+        ]))
+        return self.table("customer").withColumn("s", steps).select(
+            F.lit("update").alias("type"), F.lit(1704067200).cast("bigint").alias("ts"),
+            F.struct(
+                _text("c_custkey").alias("id"), F.concat("s.name", F.lit(" "), _text("c_custkey")).alias("name"),
+                F.substring("s.name", 1, 1).alias("user_level"),
+            ).alias("data"),
+            "s.xid", "s.xoffset", "s.commit", F.lit(EVENT_DAY).alias("dt"),
+        )
+
     def register_feed(self) -> DataFrame:
         """Customers as users registered on the event day."""
         return self.table("customer").select(

@@ -23,10 +23,13 @@ def read_log_json(spark: SparkSession, path: str, day: str | None) -> DataFrame:
 
 
 def read_change_feed(
-    spark: SparkSession, path: str, data: T.StructType, day: str | None, table: str | None = None
+    spark: SparkSession, path: str, data: T.StructType, day: str | None, table: str | None = None, position: bool = False
 ) -> DataFrame:
-    """Changes of one landed day, or of all days; ``table`` names the feed where one root holds all tables."""
-    schema = schemas.envelope(data)
+    """Changes of one landed day, or of all days; ``table`` names the feed where one root holds all tables.
+
+    ``position`` adds the place of each change in the database's log, NULL where the feed has none.
+    """
+    schema = schemas.envelope(data, position)
     if table is None:
         return on_day(_landed_json(spark, path, schema), day)
     feeds = _landed_json(spark, path, T.StructType([*schema.fields, T.StructField("table", T.StringType())]))

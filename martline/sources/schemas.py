@@ -20,14 +20,18 @@ def row(fields: str) -> T.StructType:
     return struct
 
 
-def envelope(data: T.StructType) -> T.StructType:
-    return (
+def envelope(data: T.StructType, position: bool = False) -> T.StructType:
+    """A change; ``position`` adds its place in the database's log: transaction, place in it, and whether it ends it."""
+    change = (
         T.StructType()
         .add("type", T.StringType())
         .add("ts", T.LongType())
         .add("data", data)
         .add("old", T.MapType(T.StringType(), T.StringType()))
     )
+    if position:
+        change = change.add("xid", T.LongType()).add("xoffset", T.LongType()).add("commit", T.BooleanType())
+    return change
 
 
 # The field names of the click log, the database change feeds and the full table copies.
