@@ -15,9 +15,11 @@ from martline.sources import files
 from martline.streaming import landing, stateful, tail
 from martline.streaming.order_flow import ORDERS, PAYMENTS, STATUS, OrderFlow
 
-#: Batches that a table arrives in, files of one batch, and files of the log that grows.
-BATCHES, FILES, LOGS = 4, 2, 16
+#: Batches that a table arrives in, and files of the log that grows.
+BATCHES, LOGS = 4, 16
 HOUR = 3_600_000
+#: Bytes of a row group of arriving files, so that a batch of few files is read by many tasks.
+GROUP = 8 << 20
 
 
 def _nth(column: str, low: int, high: int, n: int = BATCHES) -> Column:
@@ -25,12 +27,23 @@ def _nth(column: str, low: int, high: int, n: int = BATCHES) -> Column:
     return F.floor((F.col(column) - F.lit(low)) * n / F.lit(high - low + 1)).cast("int")
 
 
-def _arriving(rows: DataFrame) -> tuple[DataFrame, str]:
-    """Rows with a batch number ``n`` as a stream that gives them batch by batch, and where they lie."""
-    spark, path = rows.sparkSession, new_folder(rows.sparkSession)
+def _arriving(rows: DataFrame) -> Iterator[tuple[DataFrame, str | None]]:
+    """Rows with a batch number ``n`` as a stream that has one batch more each time, with the folder of that batch; once more at the end, without.
+
+    The rows are made once, into files sized from the data; a batch arrives when its folder is moved to where the stream reads.
+    """
+    spark, made, path = rows.sparkSession, new_folder(rows.sparkSession), new_folder(rows.sparkSession)
+    rows.hint("rebalance", "n").write.partitionBy("n").option("parquet.block.size", GROUP).parquet(made)
+    folder = spark._jvm.org.apache.hadoop.fs.Path
+    store = folder(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    store.mkdirs(folder(path))
+    stream = spark.readStream.schema(rows.drop("n").schema).option("recursiveFileLookup", True).parquet(path)
     for k in range(BATCHES):
-        rows.where(F.col("n") == k).repartition(FILES).write.mode("append").parquet(path)
-    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", FILES).parquet(path).drop("n"), path
+        if store.exists(folder(f"{made}/n={k}")):
+            if not store.rename(folder(f"{made}/n={k}"), folder(f"{path}/n={k}")):
+                raise OSError(f"{made}/n={k} could not be moved to {path}")
+            yield stream, f"{path}/n={k}"
+    yield stream, None
 
 
 def _span(rows: DataFrame, column: str) -> tuple[int, int]:
@@ -47,10 +60,9 @@ def first_of_key(t: Standins) -> DataFrame:
     late_in_batch = (F.col("ts") + HOUR // 2 - F.lit(low)) / F.lit(span) > F.col("n") + 1
     again = own.where(late_in_batch & (F.col("n") < BATCHES - 1)).withColumn("n", F.col("n") + 1)
     oldest = own.where(F.col("ts") < low + HOUR).withColumn("n", F.lit(BATCHES - 1))
-    stream, _ = _arriving(own.union(own).union(again).union(oldest))
     out, checkpoint = new_folder(t.spark), new_folder(t.spark)
     dropped = 0
-    for _again in range(2):
+    for stream, _ in _arriving(own.union(own).union(again).union(oldest)):
         rows = stream.withColumn("at", stateful.event_time("ts"))
         query = stateful.start_appending(stateful.first_of_key(rows, ["event_id"], "at"), out, checkpoint, once=True)
         query.awaitTermination()
@@ -62,10 +74,9 @@ def first_of_key(t: Standins) -> DataFrame:
 
 def channel_traffic(t: Standins) -> DataFrame:
     views = t.page_views()
-    stream, _ = _arriving(views.withColumn("n", _nth("ts", *_span(views, "ts"))))
     out, checkpoint = new_folder(t.spark), new_folder(t.spark)
-    rows = stateful.channel_traffic(stream.withColumn("at", stateful.event_time("ts")), "at")
-    for _again in range(2):
+    for stream, _ in _arriving(views.withColumn("n", _nth("ts", *_span(views, "ts")))):
+        rows = stateful.channel_traffic(stream.withColumn("at", stateful.event_time("ts")), "at")
         stateful.start_appending(rows, out, checkpoint, once=True).awaitTermination()
     done = t.spark.read.schema(rows.schema).parquet(out)
     columns = ["channel", "uv_count", "avg_duration_sec", "avg_page_count", "sv_count", "bounce_rate"]
@@ -82,12 +93,15 @@ def order_flow(t: Standins) -> DataFrame:
         n = F.lit(BATCHES - 1) if table == STATUS else F.pmod(F.xxhash64("value"), F.lit(BATCHES - 1))
         part = part.withColumn("n", n.cast("int"))
         rows = part if rows is None else rows.union(part)
-    stream, path = _arriving(rows)
-    flow = OrderFlow(t.spark, new_folder(t.spark), fold_every=2)
-    query = flow.start(stream, new_folder(t.spark), once=True)
-    query.awaitTermination()
-    last = query.lastProgress["batchId"]
-    flow.batch(t.spark.read.schema(rows.schema).parquet(path).where(F.col("n") == BATCHES - 1).drop("n"), last)
+    flow, checkpoint = OrderFlow(t.spark, new_folder(t.spark), fold_every=2), new_folder(t.spark)
+    last = None
+    for stream, folder in _arriving(rows):
+        query = flow.start(stream, checkpoint, once=True)
+        query.awaitTermination()
+        if folder:
+            last = folder, query.lastProgress["batchId"]
+    if last:
+        flow.batch(t.spark.read.schema(rows.drop("n").schema).parquet(last[0]), last[1])
     return flow.current()
 
 

@@ -23,6 +23,11 @@ from martline.sources import schemas
 ORDERS, PAYMENTS, STATUS = "order_info", "payment_info", "order_status_log"
 #: Batches between two snapshots of the open orders.
 FOLD_EVERY = 50
+#: What milestones are made of, in the changes of any of the three tables.
+_DATA = schemas.row(
+    "id order_id user_id province_id create_time callback_time payment_status order_status"
+    " original_total_amount:d activity_reduce_amount:d coupon_reduce_amount:d total_amount:d"
+)
 _WAITING = T.StructType().add("table", T.StringType()).add("value", T.StringType())
 
 
@@ -32,6 +37,19 @@ def _feed(rows: DataFrame, table: str) -> DataFrame:
     return rows.where(F.col("table") == table).select(body).select("e.*", F.lit(None).cast("string").alias("dt"))
 
 
+def _decoded(rows: DataFrame) -> DataFrame:
+    """Changes ``table, value, order_id`` decoded once for all that reads them; the text is kept of those that may have to wait."""
+    body = rows.withColumn("e", F.from_json("value", schemas.envelope(_DATA)))
+    return body.select("table", "order_id", F.when(F.col("table") != ORDERS, F.col("value")).alias("value"), "e.type", "e.old",
+                       *[F.col(f"e.data.{c}").alias(f"data_{c}") for c in _DATA.fieldNames()])
+
+
+def _of(rows: DataFrame, table: str) -> DataFrame:
+    """The decoded changes of one table in the shape of :func:`_feed`."""
+    data = F.struct(*[F.col(f"data_{c}").alias(c) for c in _DATA.fieldNames()])
+    return rows.where(F.col("table") == table).select("type", data.alias("data"), "old", F.lit(None).cast("string").alias("dt"))
+
+
 class OrderFlow:
     """The state of all orders under ``path``: ``flow`` has the orders each batch touched, ``open`` snapshots, ``waiting`` early changes."""
 
@@ -65,28 +83,31 @@ class OrderFlow:
 
     @staticmethod
     def _newest(versions: DataFrame) -> DataFrame:
+        """The last version of each order. A batch has an order once, so versions dealt by the order first are sorted only once."""
         every = F.struct(*versions.columns)
         return versions.groupBy("order_id").agg(F.max_by(every, "run").alias("o")).select("o.*").drop("run")
 
     def batch(self, rows: DataFrame, number: int) -> None:
         """Target of ``foreachBatch`` for rows ``table, value``, a change as JSON each. Equal rows of a batch count once."""
         waited = self._read("waiting", _WAITING).where(F.col("run") == number - 1).drop("run")
-        rows = rows.select("table", "value").unionByName(waited).distinct()
-        rows = rows.withColumn("order_id", F.when(F.col("table") == ORDERS, F.get_json_object("value", "$.data.id")).otherwise(F.get_json_object("value", "$.data.order_id")))
-        rows = rows.where(F.col("table").isin(ORDERS, PAYMENTS, STATUS)).persist()
+        rows = rows.select("table", "value").unionByName(waited).where(F.col("table").isin(ORDERS, PAYMENTS, STATUS))
+        key = F.when(F.col("table") == ORDERS, F.get_json_object("value", "$.data.id")).otherwise(F.get_json_object("value", "$.data.order_id"))
+        # Dealt by the order once: equal rows meet there, and the look-ups below move only the orders they look in.
+        rows = _decoded(rows.withColumn("order_id", key).repartition("order_id").distinct()).persist()
         try:
-            ids = rows.select("order_id").distinct()
-            before = self._newest(self._touched_before(number).join(ids, "order_id", "left_semi"))
-            orders, payments, status = (_feed(rows, t) for t in (ORDERS, PAYMENTS, STATUS))
+            touched = self._touched_before(number)
+            before = self._newest(touched.join(rows.select("order_id"), "order_id", "left_semi"))
             # an order that was delivered before is known, open or finished
-            orders = orders.join(before.select(F.col("order_id").alias("_id")), F.col("data.id") == F.col("_id"), "left_anti")
+            fresh = rows.where(F.col("table") == ORDERS).join(touched.select("order_id"), "order_id", "left_anti")
+            orders, payments, status = _of(fresh, ORDERS), _of(rows, PAYMENTS), _of(rows, STATUS)
             flow = facts.fact_trade_flow(before.where(F.col("dt") == OPEN_END), orders, payments, status, None)
             self._write(flow, "flow", number)
             done = self._read("flow", self.schema).where(F.col("run") <= number).select("order_id")
             early = rows.where(F.col("table") != ORDERS).join(done, "order_id", "left_anti")
             self._write(early.select("table", "value"), "waiting", number)
             if number and number % self.fold_every == 0:
-                still = self._newest(self._touched_before(number).unionByName(flow.withColumn("run", F.lit(number).cast("long"))))
+                written = self._read("flow", self.schema).where(F.col("run") == number)
+                still = self._newest(touched.unionByName(written).repartition("order_id"))
                 self._write(still.where(F.col("dt") == OPEN_END), "open", number)
         finally:
             rows.unpersist()
@@ -98,4 +119,5 @@ class OrderFlow:
     def current(self, number: int | None = None) -> DataFrame:
         """All orders as of batch ``number``, or now: the open ones and those finished so far."""
         rows = self._read("flow", self.schema)
-        return self._newest(rows if number is None else rows.where(F.col("run") <= number))
+        rows = rows if number is None else rows.where(F.col("run") <= number)
+        return self._newest(rows.repartition("order_id"))

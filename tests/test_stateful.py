@@ -7,8 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from martline.operators import facts, reports, rollups
+from martline.plans import streams
 from martline.streaming import stateful
-from martline.streaming.order_flow import OrderFlow, _feed
+from martline.streaming.order_flow import OrderFlow, _decoded, _feed, _of
 
 HOUR, DAY = 3_600_000, 86_400_000
 
@@ -133,3 +134,43 @@ def test_order_flow_as_a_stream(spark, tmp_path, source, rows):
     paid = [r for r in rows(once, "order_id", "payment_time", "dt") if r[1] or r[2] == "9999-12-31"]
     got = rows(flow.current(), "order_id", "payment_time", "dt")
     assert {r[0] for r in got} == {r[0] for r in rows(once, "order_id")} and {r for r in got if r[2] == "9999-12-31"} <= set(paid)
+
+
+def test_batches_arrive_one_by_one_in_files_sized_from_the_data(spark, tmp_path):
+    # the first batch has one row and the third none: neither takes rows of the next batch along
+    numbers = spark.range(20_000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("text"))
+    rows = numbers.withColumn("n", F.when(F.col("id") == 0, 0).when(F.col("id") % 2 == 0, 1).otherwise(3))
+    small = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    kept = spark.conf.get(small)
+    spark.conf.set(small, "100k")
+    try:
+        seen, folders = [], []
+        for stream, folder in streams._arriving(rows):
+            folders.append(folder)
+            query = stream.writeStream.foreachBatch(lambda df, n: seen.append((n, df.count(), df.agg(F.sum("id")).first()[0])))
+            query.option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start().awaitTermination()
+    finally:
+        spark.conf.set(small, kept)
+    even = 2 * sum(range(1, 10_000))
+    assert seen == [(0, 1, 0), (1, 9_999, even), (2, 10_000, even + 10_000)]
+    assert [f and f[-1] for f in folders] == ["0", "1", "3", None]
+    assert len(spark.read.parquet(folders[2]).inputFiles()) > 2
+
+
+def test_changes_decoded_once_equal_those_of_each_table(spark):
+    odd = [
+        ("order_info", '{"type": "insert", "data": {"id": 5, "user_id": "1", "total_amount": 9.5, "surplus": [1, {"a": 2}]}}'),
+        ("order_info", '{"type": "insert", "data": {"id": "6", "total_amount": "no number"'), ("order_info", "no json"),
+        ("payment_info", '{"type": "update", "data": {"order_id": "5", "payment_status": "1602"}, "old": {"payment_status": null}}'),
+        ("payment_info", '{"type": "update", "data": null, "old": {"payment_status": "1601"}}'), ("payment_info", None),
+        ("order_status_log", '{"type": "insert", "data": {"order_id": "5", "order_status": "1004", "create_time": "2022-06-08 01:00:00"}}'),
+    ]
+    rows = spark.createDataFrame(odd + changes(9), "table string, value string")
+    keyed = _decoded(rows.withColumn("order_id", F.lit("k")))
+    for table in ("order_info", "payment_info", "order_status_log"):
+        a, b = _of(keyed, table), _feed(rows, table)
+        used = ["type", "old", *[f"data.{c}" for c in a.schema["data"].dataType.fieldNames() if c in b.schema["data"].dataType.fieldNames()]]
+        assert sorted(map(str, a.select(*used).collect())) == sorted(map(str, b.select(*used).collect()))
+        assert len(used) > 4
+    waiting = keyed.where(F.col("table") != "order_info").select("table", "value").collect()
+    assert sorted(map(str, waiting)) == sorted(map(str, rows.where(F.col("table") != "order_info").collect()))
